@@ -20,6 +20,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,9 @@ from .common import documents, file_system, run_dir, save, small_batches
 MAGIC = b"MLTOKEF1"
 DIRECTORY = 64
 CHUNK = re.compile(r"[^ \t\r\n]+")
+PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+#: Fixed pattern: the tokenizer's own pre-tokens, over the characters of PLAIN in lower case.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
 class EliasFano:
@@ -137,26 +141,70 @@ class TokenFile:
 
 
 class ChunkEncoder:
-    """Token ids of texts. White space parts chunks that the tokenizer treats independently (it never joins across it), so
-    the ids of a chunk are asked of the library once and kept; the memory is bounded by most."""
+    """Token ids of texts, each different piece asked of the library once and kept.
 
-    def __init__(self, tokenizer_path: str, width: int, most: int = 300_000):
+    The tokenizer joins nothing across white space, so a text is the sequence of its chunks. In chunks of ASCII and Latin-1
+    letters its own pre-tokens are cut here too, by the same pattern (PIECE), as they repeat far more often than chunks;
+    any other chunk, or one that may hold a special token's string, goes to the library whole. At most `most` pieces are
+    kept: the older half goes when they are more.
+    """
+
+    def __init__(self, tokenizer_path: str, width: int, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.most = Tokenizer.from_file(tokenizer_path), "<u2" if width == 2 else "<u4", most
         self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _room(self, known: dict[str, bytes]) -> None:
+        if len(known) > self.most:
+            for k in list(known)[: self.most // 2]:
+                del known[k]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """One call for many pieces: between blanks each is one pre-token, and word_ids says whose an id is."""
+        self._room(self.known)
+        e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids, owners = np.array(e.ids, dtype=self.kind), np.array(e.word_ids, dtype=np.int64)
+        if owners[-1] != len(pieces) - 1:
+            raise ValueError("the tokenizer cuts words in another way than PIECE")
+        at = np.searchsorted(owners, np.arange(len(pieces) + 1))
+        for k, piece in enumerate(pieces):
+            self.known[piece] = ids[at[k] : at[k + 1]].tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        pieces = PIECE.findall(text.lower())
+        known = self.known
+        try:
+            return b"".join([known[p] for p in pieces])
+        except KeyError:
+            self._learn(list({p for p in pieces if p not in known}))
+            missing = [p for p in set(pieces) if p not in known]
+            if missing:
+                self._learn(missing)
+        return b"".join([known[p] for p in pieces])
 
     def encode(self, text: str | None) -> bytes:
-        chunks = CHUNK.findall(text or "")
-        known = self.known
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            if len(known) > self.most:
-                known.clear()
-                new = list(set(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, dtype=self.kind).tobytes()
-        return b"".join([known[c] for c in chunks])
+        if not text:
+            return b""
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return self._plain(text)
+        out = []
+        for chunk in CHUNK.findall(text):
+            if PLAIN.fullmatch(chunk) and "<|" not in chunk:
+                out.append(self._plain(chunk))
+                continue
+            if chunk not in self.chunks:
+                self._room(self.chunks)
+                self.chunks[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            out.append(self.chunks[chunk])
+        return b"".join(out)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_path: str, width: int) -> ChunkEncoder:
+    """The encoder of this Python worker; what it knows serves the worker's later tasks too."""
+    return ChunkEncoder(tokenizer_path, width)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 1, width: int = 2, file_ids: int = 4_000_000) -> DataFrame:
@@ -170,7 +218,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         fs, root = file_system(out_dir)
-        encoder, end = ChunkEncoder(tokenizer_path, width), end_id.to_bytes(width, "little")
+        encoder, end = encoder_of(tokenizer_path, width), end_id.to_bytes(width, "little")
         keys, lengths, blobs, size, seq = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
