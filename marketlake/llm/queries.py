@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from . import licenses
+from .licenses import op8_licenses
+from .quality import op6_quality
 from .sharding import op4_sharding
 from .token_ids import op9_token_ids
 from .warc import op5_warc
@@ -9,6 +12,8 @@ from .warc import op5_warc
 QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
+    "op6_quality": op6_quality,
+    "op8_licenses": op8_licenses,
     "op9_token_ids": op9_token_ids,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_licenses": licenses.oracle()}
