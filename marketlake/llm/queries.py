@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import licenses
+from .decontam import op7_decontamination
 from .licenses import op8_licenses
 from .quality import op6_quality
 from .sharding import op4_sharding
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
+    "op7_decontamination": op7_decontamination,
     "op8_licenses": op8_licenses,
     "op9_token_ids": op9_token_ids,
 }
