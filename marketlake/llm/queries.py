@@ -5,17 +5,21 @@ from __future__ import annotations
 from . import licenses
 from .decontam import op7_decontamination
 from .licenses import op8_licenses
+from .minhash import op1_minhash
+from .passages import op10_passages
 from .quality import op6_quality
 from .sharding import op4_sharding
 from .token_ids import op9_token_ids
 from .warc import op5_warc
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
     "op8_licenses": op8_licenses,
     "op9_token_ids": op9_token_ids,
+    "op10_passages": op10_passages,
 }
 ORACLE_SQL: dict[str, str] = {"op8_licenses": licenses.oracle()}
