@@ -6,7 +6,9 @@ from . import licenses
 from .decontam import op7_decontamination
 from .licenses import op8_licenses
 from .minhash import op1_minhash
+from .packing import op3_packing
 from .passages import op10_passages
+from .pii import op2_pii
 from .quality import op6_quality
 from .sharding import op4_sharding
 from .token_ids import op9_token_ids
@@ -14,6 +16,8 @@ from .warc import op5_warc
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_pii": op2_pii,
+    "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
