@@ -78,13 +78,16 @@ def simhash(words: str) -> Column:
 
 def blocks(fingerprint: str, near: int = 0) -> Column:
     """Array of (block number, value), with all values that differ in up to `near` bits."""
+    def listed(k: int, value: Column, masks: list[int]) -> Column:
+        return F.transform(F.lit(masks), lambda m: F.struct(F.lit(k).alias("block"), value.bitwiseXOR(m).alias("value")))
+
     out, shift = [], 0
     for k, width in enumerate(WIDTHS):
         value = F.shiftrightunsigned(fingerprint, shift).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
         masks = [0] + [1 << a for a in range(width)] * (near > 0) + [1 << a | 1 << b for a in range(width) for b in range(a)] * (near > 1)
-        out += [F.struct(F.lit(k).alias("block"), value.bitwiseXOR(F.lit(m)).alias("value")) for m in masks]
+        out.append(listed(k, value, masks))
         shift += width
-    return F.array(*out)
+    return F.concat(*out)
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
