@@ -9,6 +9,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"\w+")
 SHINGLE_WORDS = 5
@@ -46,47 +47,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Up to so many rows of ids a join may broadcast a side (some tens of bytes a row); beyond, Spark shuffles both.
+MOST_BROADCAST = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df (a few columns of ids), to be broadcast if its counted rows allow it."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def file_system(uri: str):
     """pyarrow file system and path of a URI; file:// and whatever else pyarrow speaks."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file:{uri}" if uri.startswith("file:") else uri)
-
-
-class Words:
-    """64-bit hashes of lower-case words, remembered between documents; the memory is bounded by most_words."""
-
-    def __init__(self, most_words: int = 400_000):
-        self.most_words = most_words
-        self.known: dict[str, int] = {}
-
-    def hashes(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.array([known[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            pass
-        if len(known) > self.most_words:
-            known.clear()
-        digest = xxhash.xxh3_64_intdigest
-        for w in words:
-            if w not in known:
-                known[w] = digest(w)
-        return np.array([known[w] for w in words], dtype=np.uint64)
-
-    def shingles(self, words: list[str], n: int = SHINGLE_WORDS) -> np.ndarray:
-        """One hash for each n-word window in order; a text of 1 to n - 1 words is one window."""
-        h = self.hashes(words)
-        if not len(h):
-            return h
-        n = min(n, len(h))
-        out = np.zeros(len(h) - n + 1, dtype=np.uint64)
-        for j in range(n):
-            out = (out ^ h[j : j + len(out)]) * MIX
-            out ^= out >> np.uint64(29)
-        return out
-
-
-def words_of(text: str | None) -> list[str]:
-    """Lower-case words of a text; none for null."""
-    return WORD.findall(text.lower()) if text else []

@@ -23,22 +23,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SHINGLE_WORDS, documents, save
+from .common import documents, save, small
 
+SHINGLE_WORDS = 5
 RADIUS = 17
 WIDTHS = (11, 11, 11, 11, 10, 10)
 BITMAP_BITS = 1 << 18
-#: Up to so many rows of the benchmark's side a join may broadcast it (some tens of bytes a row); beyond, Spark shuffles.
-MOST_BROADCAST = 1_000_000
 LANES = 0x0001000100010001
 TOPS = LANES << 14
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if its counted rows allow it."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
-
-
 def word_hashes(text: Column) -> Column:
     """One 64-bit hash for each lower-case word of a text."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))

@@ -16,9 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import MIX, Words, documents, small_batches
+from .common import documents, small_batches
+from .features import MIX
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -32,6 +34,11 @@ SHARES = [f"share_{n}_grams" for n in GRAM_BOUNDS] + ["share_dup_lines"]
 RESULT = ", ".join([f"{k} long" for k in MEASURES] + ["base_failed boolean", "kept boolean"] + [f"{k} double" for k in SHARES])
 
 
+def hashes(words: list[str]) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
 def rolled(h: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
     """Hashes of all n-grams for each n of the ascending lengths that the text has."""
     rolling = np.zeros(len(h), dtype=np.uint64)
@@ -70,7 +77,7 @@ def triples(words: list[str]) -> np.ndarray:
     return pairs[:-1] * len(ids) + a[2:]
 
 
-def measure(text: str | None, hashes: Words) -> list:
+def measure(text: str | None) -> list:
     """The values of RESULT for one text."""
     text = text or ""
     words = WORD.findall(text)
@@ -88,7 +95,7 @@ def measure(text: str | None, hashes: Words) -> list:
     repeat = int(covered(triples(words), 3, n).sum()) if n >= 3 else 0
     shares = dict.fromkeys(GRAM_BOUNDS, 0.0)
     if repeat:  # a longer n-gram found twice holds a 3-word window found twice
-        for k, keys in rolled(hashes.hashes(words), list(GRAM_BOUNDS)):
+        for k, keys in rolled(hashes(words), list(GRAM_BOUNDS)):
             shares[k] = float(sizes[covered(keys, k, n)].sum()) / chars
     line_share = dup_chars / chars if chars else 0.0
     failed = n < LEAST_WORDS or 100 * repeat > 50 * n
@@ -100,10 +107,9 @@ def measures(docs: DataFrame) -> DataFrame:
     """doc_id and the measures of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Words()
         names = ["doc_id", *MEASURES, "base_failed", "kept", *SHARES]
         for batch in batches:
-            rows = [measure(t, hashes) for t in batch.column(1).to_pylist()]
+            rows = [measure(t) for t in batch.column(1).to_pylist()]
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], names=names)
 
@@ -115,9 +121,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows whose text is kept, with the columns that came, whatever their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, at = Words(), len(MEASURES) + 1
+        at = len(MEASURES) + 1
         for batch in batches:
-            yield batch.filter(pa.array([measure(t, hashes)[at] for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([measure(t)[at] for t in batch.column("text").to_pylist()], pa.bool_()))
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
