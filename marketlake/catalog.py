@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import book, notes, series  # noqa: F401  they register their queries
+from .plans import book, facts, notes, series  # noqa: F401  they register their queries
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
