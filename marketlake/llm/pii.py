@@ -5,9 +5,10 @@ Base: leftmost non-overlapping matches per kind, checked (IP parts, Luhn, digit
 Bootstrap. The scan also notes every identifier-like token (a number of 7 digits or more, or a token with `@`) with its
 lexical pattern, that is the two words before it, the kinds it could be, and the kind of the base span that covers it (a
 seed). Spark scores the graph of patterns and instances in rounds: a pattern's confidence in a kind is the share of known
-instances among its different instances that could be of the kind. Patterns with SUPPORT known instances and CONFIDENCE make
-their other instances known for the next round. In the end, occurrences of known instances under a trusted pattern are
-added as spans; base spans stay, and an added span never overlaps one.
+instances among its different instances that could be of the kind. Patterns with SUPPORT known instances and CONFIDENCE in a
+kind make their other instances known as of that kind for the next round; a pattern or an instance can have several kinds. Rounds
+go on until one adds nothing. In the end, occurrences of known instances under a trusted pattern are added as spans, each as of
+the kind in which its pattern has the highest confidence; base spans stay, and an added span never overlaps one.
 
 The graph has a row for each different (pattern, instance), combined in each task before the shuffle, and is scored by joins
 and sums; no group is collected, so a phrase that stands in a third of all documents is a row.
@@ -40,7 +41,7 @@ AT = re.compile(r"[^\s@]++@[^\s@]++")
 BEFORE = re.compile(r"[^\W\d_]+")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 CONTEXT = 60
-ROUNDS, SUPPORT, CONFIDENCE = 3, 10, 0.6
+SUPPORT, CONFIDENCE = 10, 0.6
 
 
 def luhn(digits: str) -> bool:
@@ -138,31 +139,32 @@ def text_key() -> Column:
 
 
 def trusted_patterns(graph: DataFrame, known: DataFrame) -> DataFrame:
-    """pattern, trusted (kind): by the share of known instances among those that could be of the kind."""
-    state = graph.join(known, "instance", "left")
+    """pattern, trusted (kind), share and n of known instances among those that could be of the kind; a row for each kind trusted."""
+    state = graph.join(known.groupBy("instance").agg(F.bit_or(F.expr("shiftleft(1, known)")).alias("known")), "instance", "left")
     n = len(KINDS)
     could = [F.count_if(F.col("mask").bitwiseAND(F.lit(1 << k)) != 0).alias(f"could{k}") for k in range(n)]
-    are = [F.count_if((F.col("known") == k) & (F.col("mask").bitwiseAND(F.lit(1 << k)) != 0)).alias(f"are{k}") for k in range(n)]
+    are = [F.count_if(F.col("mask").bitwiseAND(F.col("known")).bitwiseAND(F.lit(1 << k)) != 0).alias(f"are{k}") for k in range(n)]
     sums = state.groupBy("pattern").agg(*could, *are)
-    kinds = F.array(*[F.struct((F.col(f"are{k}") / F.greatest(F.col(f"could{k}"), F.lit(1))).alias("share"), F.col(f"are{k}").alias("n"), F.lit(k).alias("kind")) for k in range(n)])
-    best = F.array_max(F.filter(kinds, lambda x: x["n"] >= SUPPORT))
-    return sums.select("pattern", best.alias("best")).where(F.col("best.share") >= CONFIDENCE).select("pattern", F.col("best.kind").alias("trusted"))
+    kinds = F.array(*[F.struct((F.col(f"are{k}") / F.greatest(F.col(f"could{k}"), F.lit(1))).alias("share"), F.col(f"are{k}").alias("n"), F.lit(k).alias("trusted")) for k in range(n)])
+    return sums.select("pattern", F.inline(F.filter(kinds, lambda x: (x["n"] >= SUPPORT) & (x["share"] >= CONFIDENCE))))
 
 
 def discovered(scanned: DataFrame) -> DataFrame:
     """pattern, instance, added (kind) of what the bootstrap finds."""
     graph = scanned.select(F.explode("found").alias("f")).select("f.pattern", "f.instance", "f.mask", "f.kind")
-    graph = save(graph.groupBy("pattern", "instance").agg(F.max("mask").alias("mask"), F.max("kind").alias("kind")), "pii-graph")
-    known = save(graph.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("known")), "pii-known")
-    for _ in range(ROUNDS):
+    seeds = F.bit_or(F.expr("CASE WHEN kind >= 0 THEN shiftleft(1, kind) ELSE 0 END"))
+    graph = save(graph.groupBy("pattern", "instance").agg(F.bit_or("mask").alias("mask"), seeds.alias("seeds")), "pii-graph")
+    kinds = F.explode(F.filter(F.array(*[F.lit(k) for k in range(len(KINDS))]), lambda k: F.expr("seeds").bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(len(KINDS))]), k + 1)) != 0))
+    known = save(graph.where("seeds <> 0").select("instance", kinds.alias("known")).distinct(), "pii-known")
+    while True:
         fits = graph.join(trusted_patterns(graph, known), "pattern").where("mask & shiftleft(1, trusted) != 0")
-        new = fits.join(known, "instance", "left_anti").groupBy("instance").agg(F.max("trusted").alias("known"))
+        new = fits.select("instance", F.col("trusted").alias("known")).distinct().join(known, ["instance", "known"], "left_anti")
         new = save(new, "pii-new")
         if new.isEmpty():
             break
         known = save(known.union(new), "pii-known")
-    fits = graph.where("kind < 0").join(trusted_patterns(graph, known), "pattern").where("mask & shiftleft(1, trusted) != 0")
-    return fits.join(known, "instance").where("known = trusted").select("pattern", "instance", F.col("trusted").alias("added"))
+    fits = fits.where("seeds = 0").withColumnRenamed("trusted", "known").join(known, ["instance", "known"])
+    return fits.groupBy("pattern", "instance").agg(F.max(F.struct("share", "n", "known"))["known"].alias("added"))
 
 
 def spans_of(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:

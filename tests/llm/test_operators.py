@@ -133,6 +133,25 @@ def test_pii_bootstrap_finds_the_unmarked(spark):
     assert "555" not in pii.redact(docs).where("doc_id = 99").first().text
 
 
+def test_pii_bootstrap_keeps_every_kind_of_a_pattern(spark):
+    rows = [(k, f"please reach me: +4930{1000000 + k} thanks") for k in range(30)] + [(k, f"please reach me: name{k}@mail.example.org thanks") for k in range(30, 70)]
+    rows += [(99, "please reach me: 555-0199-22 thanks"), (100, "please reach me: someone@intranet thanks")]
+    out = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[99] == "please reach me: [phone] thanks" and out[100] == "please reach me: [email] thanks"
+
+
+def test_pii_bootstrap_follows_a_chain_of_patterns(spark):
+    """Under each pattern stand instances known from the one before, and as many that the next one has again."""
+    patterns = ["first here", "second place", "third along", "fourth onward", "fifth line", "sixth end"]
+    names = [[f"+4930{1000000 + k}" for k in range(20)]] + [[f"555-01{p}9-{10 + k}" for k in range(10)] for p in range(6)]
+    rows = [f"{words}: {x} ok" for p, words in enumerate(patterns) for x in names[p] + names[p + 1]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    # of 30 instances under the first pattern 20 are known, so its other ten are; under the next 10 of 20: more seeds make it 15 of 20
+    more = [(1000 + 10 * p + k, f"{words}: +4940{1000000 + 10 * p + k} ok") for p, words in enumerate(patterns[1:]) for k in range(5)]
+    docs = docs.union(spark.createDataFrame(more, "doc_id long, text string"))
+    assert not [r.text for r in pii.redact(docs).collect() if "[phone]" not in r.text]
+
+
 def test_pii_base_equals_plain_patterns():
     rng = random.Random(2)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
