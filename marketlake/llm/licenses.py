@@ -1,6 +1,7 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences (at line ends and after . ! ?), each is normalised (lower case, runs of anything but a-z0-9
+A text is cut into sentences (at blank lines and after . ! ?) that may be wrapped over lines; one that isn't known is cut at
+line ends after a colon, then at all line ends, for notices without a stop. Each is normalised (lower case, runs of anything but a-z0-9
 to one blank, the many ways to say "is released under the" to "licensed under") and mapped to the number of a known
 licence sentence. The sequence of numbers, unknown sentences left out, is matched against ordered rules: the first rule
 whose sequence occurs takes its sentences, then the next rule looks at what is left. Everything happens within the row, so
@@ -61,6 +62,7 @@ SENTENCES = {
     "reserved": "All rights reserved.",
 }
 SPLIT, STOP = r"([.!?])[ \t\r\f]+", r"\n"
+WRAPPED, COLON = r"(?<=[.!?])[ \t\r\f]+|(?<=[.!?])\n|\n[ \t\r\f]*\n", r"(?<=:)[ \t\r\f]*\n"
 OTHER = "[^a-z0-9]+"
 VERB = "^(this (work|software|file|project|program|document|text|content|material|code) is )?(licensed|released|distributed|available|published|provided) under (the )?(terms of the )?"
 
@@ -99,10 +101,18 @@ def rules() -> list[tuple[str, list[int]]]:
 
 def sentence_numbers(text: Column) -> Column:
     """Numbers of the known sentences of a text, in order."""
-    cut = F.split(F.regexp_replace(F.lower(text), SPLIT, "$1\n"), STOP)
     known = F.lit(KNOWN)
-    clean = F.transform(cut, lambda s: F.regexp_replace(F.trim(F.regexp_replace(s, OTHER, " ")), VERB, "licensed under "))
-    return F.filter(F.transform(clean, lambda s: F.array_position(known, s)), lambda n: n > 0)
+
+    def number(s: Column) -> Column:
+        return F.array_position(known, F.regexp_replace(F.trim(F.regexp_replace(s, OTHER, " ")), VERB, "licensed under "))
+
+    def numbers(s: Column, *stops: str) -> Column:
+        if not stops:
+            return F.array(number(s))
+        return F.when(number(s) > 0, F.array(number(s))).otherwise(F.flatten(F.transform(F.split(s, stops[0]), lambda part: numbers(part, *stops[1:]))))
+
+    found = F.flatten(F.transform(F.split(F.lower(text), WRAPPED), lambda s: numbers(s, COLON, STOP)))
+    return F.filter(found, lambda n: n > 0)
 
 
 def scan(docs: DataFrame) -> DataFrame:

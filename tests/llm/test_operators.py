@@ -281,6 +281,22 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    import textwrap
+
+    texts = {k: textwrap.fill(s, 70) for k, s in licenses.SENTENCES.items()}
+    bsd = [texts["bsd-grant"], *(textwrap.indent(f"{n}. {texts[k]}", "   ") for n, k in enumerate(("bsd-source", "bsd-binary"), 1))]
+    names = f"3. {texts['bsd-names']}"
+    commented = "\n".join(f"# {line}" for line in texts["gpl2-free"].split("\n"))
+    rows = [
+        (1, f"The MIT License\n\nCopyright (c) 2020 A. Name\n\n{texts['mit-grant']}\n\n{texts['mit-notice']}\n\nno warranty"),
+        (2, "\n\n".join([*bsd, names])), (3, "\n".join([*bsd, names])), (4, "\r\n".join("\n".join(bsd).split("\n"))),
+        (5, f"a program\n\n{texts['gpl-free']}"), (6, commented), (7, texts["isc-grant"]), (8, "Title\nReleased under the MIT License\nmore\n\nAll rights reserved."),
+    ]
+    found = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: "MIT", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "GPL-3.0-or-later", 6: "GPL-2.0-or-later", 7: "ISC", 8: "MIT,proprietary"}
+
+
 def test_token_files(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
