@@ -8,9 +8,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketlake.llm import decontam, licenses, minhash, packing, passages, pii, quality, sharding, token_ids, warc
+from marketlake.llm.common import Workspace
 from marketlake.llm.features import shingles_of
 
 RNG = random.Random(11)
@@ -83,8 +85,8 @@ def test_minhash_group_of_near_copies_equals_brute_force(spark):
     rng = random.Random(3)
     texts = [edited(BASE, rng.sample(range(200), rng.randint(0, 9))) for _ in range(60)] + [prose(100, k) for k in range(20, 40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    idf = minhash.shingle_weights(docs)
-    sets = [minhash.weighted(__import__("pyarrow").array([t]), idf)[0] for t in texts]
+    idf = minhash.shingle_weights(docs, Workspace(spark, "t"))
+    sets = [minhash.weighted(pa.array([t]), idf)[0] for t in texts]
     top = list(range(len(texts)))
 
     def root(x):
@@ -102,6 +104,60 @@ def test_minhash_group_of_near_copies_equals_brute_force(spark):
             assert (of[i] == of[j]) == (root(i) == root(j)), (i, j)
 
 
+def linked_by_brute_force(spark, texts):
+    """Label of each text's component over all pairs at 0.8 and more."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = minhash.shingle_weights(docs, Workspace(spark, "t"))
+    sets = minhash.weighted_copies(pa.array(texts), idf)
+    values, counts = np.unique(np.concatenate([h for h, _ in sets]), return_counts=True)
+    shared = values[counts > 1]  # others are in no intersection
+    have = np.zeros((len(texts), len(shared)), dtype=np.float32)
+    weight = np.zeros(len(shared))
+    for k, (h, w) in enumerate(sets):
+        at = np.searchsorted(shared, h)
+        ok = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == h)
+        have[k, at[ok]] = 1
+        weight[at[ok]] = w[ok]
+    both = (have * weight) @ have.T
+    total = np.array([w.sum() for _, w in sets])
+    alike = both / (total[:, None] + total[None] - both) >= 0.8
+    label = np.arange(len(texts))
+    while True:
+        new = np.array([label[row].min() for row in alike | np.eye(len(texts), dtype=bool)])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("least_edits", [0, 3])
+def test_minhash_large_group_of_near_copies_equals_brute_force(spark, least_edits):
+    """2,000 copies of 150 words on both sides of 0.8, with the original among them and without; and 40 other texts."""
+    rng = random.Random(31 + least_edits)
+    base, pool = prose(150, 61).split(), VOCAB[:60]
+    texts = []
+    for _ in range(2000):
+        w = list(base)
+        for k in rng.sample(range(150), rng.randint(least_edits, 9)):
+            w[k] = rng.choice(pool)
+        texts.append(" ".join(w))
+    texts = sorted(set(texts + [prose(120, k) for k in range(300, 340)]))
+    label = linked_by_brute_force(spark, texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    of = {r.doc_id: bytes(r["class"]) for r in minhash.classes(docs).collect()}
+    found, true = {}, {}
+    for k in range(len(texts)):
+        found.setdefault(of[k], set()).add(k)
+        true.setdefault(int(label[k]), set()).add(k)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, true.values()))
+
+
+def test_minhash_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 4, 5, 6)], "doc_id long, text string, key int, __key2 int, class int")
+    (kept,) = minhash.one_of_each(docs).collect()
+    assert (kept.doc_id, kept.key, kept["__key2"], kept["class"]) == (1, 1, 2, 3)
+
+
 def test_sampler_estimates_similarity():
     sampler = minhash.Sampler(draws=600)
     rng = np.random.default_rng(1)
