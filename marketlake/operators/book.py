@@ -17,13 +17,15 @@ def verified(book: DataFrame) -> DataFrame:
 
 
 def vwap_by_depth(book: DataFrame, percents: tuple[int, ...] = (5, 10, 25, 50)) -> DataFrame:
-    """snapshot, side, vwap_<p>: mean price of the best p per cent of the depth; best is lowest on SELL, highest on BUY.
+    """snapshot, side, vwap_<p>: mean price of the first p per cent of the depth; the walk goes up on BUY and down on SELL.
+
+    BUY lists whom a buyer can buy from, so the lowest price is the best; SELL lists whom a seller can sell to.
 
     An ad of size 0 or less ends the walk at its price, after the ads of the same price that have a size. NULL if nothing
     was taken.
     """
     levels = book.groupBy("snapshot", "side", "price4").agg(F.sum(F.greatest("size", F.lit(0))).alias("size"), F.max((F.col("size") <= 0).cast("int")).alias("ends"))
-    best = F.when(F.col("side") == "BUY", -F.col("price4")).otherwise(F.col("price4"))
+    best = F.when(F.col("side") == "BUY", F.col("price4")).otherwise(-F.col("price4"))
     order = Window.partitionBy("snapshot", "side").orderBy(best)
     past = order.rowsBetween(Window.unboundedPreceding, -1)
     walked = levels.select(

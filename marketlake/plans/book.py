@@ -12,7 +12,7 @@ GOOD = BOOK + ", good AS (SELECT * FROM book WHERE merchant = 1)"
 WALK = GOOD + """,
 levels AS (SELECT snapshot, side, price4, CAST(sum(greatest(size, 0)) AS BIGINT) AS size, max(CAST(size <= 0 AS INTEGER)) AS ends FROM good GROUP BY ALL),
 walked AS (SELECT snapshot, side, price4, size, coalesce(sum(size) OVER past, 0) AS before, coalesce(max(ends) OVER past, 0) AS ended, sum(size) OVER (PARTITION BY snapshot, side) AS total
- FROM levels WINDOW past AS (PARTITION BY snapshot, side ORDER BY CASE WHEN side = 'BUY' THEN -price4 ELSE price4 END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ FROM levels WINDOW past AS (PARTITION BY snapshot, side ORDER BY CASE WHEN side = 'BUY' THEN price4 ELSE -price4 END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 vwaps AS (SELECT snapshot, side, """ + ", ".join(
     f"CAST(sum(price4 * take_{p}) AS DOUBLE) / nullif(sum(take_{p}), 0) / 10000.0 AS vwap_{p}" for p in (5, 10, 25, 50)
 ) + " FROM (SELECT *, " + ", ".join(f"CASE WHEN ended = 1 THEN 0 ELSE greatest(0, least(size * 100, total * {p} - before * 100)) END AS take_{p}" for p in (5, 10, 25, 50)) + " FROM walked) GROUP BY ALL)"
@@ -109,11 +109,11 @@ def j14(spark, sf_dir):
     return new.union(carried.join(members, keys, "left_anti").withColumn("change", F.lit("gone")))
 
 
-@query("u02_trader_difference", f"""WITH {BOOK}, a AS (SELECT trader FROM book WHERE ad_id < 60), b AS (SELECT trader FROM book WHERE ad_id BETWEEN 60 AND 120)
-SELECT trader, 'first only' AS kind FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT trader, 'second only' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
+@query("u02_trader_difference", f"""WITH {BOOK}, a AS (SELECT trader, size FROM book WHERE side = 'BUY'), b AS (SELECT trader, size FROM book WHERE side = 'SELL')
+SELECT trader, size, 'first only' AS kind FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT trader, size, 'second only' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def u02(spark, sf_dir):
     rows = book(spark, sf_dir)
-    a, b = rows.where("ad_id < 60").select("trader"), rows.where("ad_id BETWEEN 60 AND 120").select("trader")
+    a, b = rows.where("side = 'BUY'").select("trader", "size"), rows.where("side = 'SELL'").select("trader", "size")
     return a.subtract(b).withColumn("kind", F.lit("first only")).union(b.subtract(a).withColumn("kind", F.lit("second only")))
 
 
