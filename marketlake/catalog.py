@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import book, facts, more, notes, series  # noqa: F401  they register their queries
+from .plans import bonds, book, events, facts, filings, files, more, notes, series, texts  # noqa: F401  they register their queries
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -17,18 +17,23 @@ def long(wide: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return wide.unpivot([key], columns, "slug", "valor").where("valor IS NOT NULL")
 
 
-def contributions(facts: DataFrame, lag: int = 12) -> DataFrame:
-    """periodo, slug, contribution: change against `lag` periods before, as a share of the total then, in per cent.
+def contributions(facts: DataFrame, published: DataFrame, tolerance: float | None = None) -> DataFrame:
+    """periodo, slug, contribution: weight times the change against the same month of the year before, in per cent of the
+    published total (periodo, total) then. facts has periodo (yyyy-MM), slug, valor, weight.
 
-    Periods are numbered once (they are few); facts meet their earlier selves by that number.
+    With a tolerance, a month is left out whole unless its contributions add up to the published total's change (in per cent).
     """
-    periods = facts.select("periodo").distinct().withColumn("n", F.row_number().over(Window.orderBy("periodo")))
-    rows = facts.join(F.broadcast(periods), "periodo")  # a row per period
-    totals = rows.groupBy("n").agg(F.sum("valor").alias("total"))
-    then = rows.select((F.col("n") + lag).alias("n"), "slug", F.col("valor").alias("before"))
-    base = totals.select((F.col("n") + lag).alias("n"), "total")
+    number = F.substring("periodo", 1, 4).cast("int") * 12 + F.substring("periodo", 6, 2).cast("int")
+    rows, totals = facts.withColumn("n", number), published.select(number.alias("n"), "total")
+    then = rows.select((F.col("n") + 12).alias("n"), "slug", F.col("valor").alias("before"))
+    base = totals.select((F.col("n") + 12).alias("n"), F.col("total").alias("was"))
     both = rows.join(then, ["n", "slug"]).join(base, "n")
-    return both.select("periodo", "slug", ((F.col("valor") - F.col("before")) * 100 / F.col("total")).alias("contribution"))
+    out = both.select("n", "periodo", "slug", (F.col("weight") * (F.col("valor") - F.col("before")) * 100 / F.col("was")).alias("contribution"))
+    if tolerance is not None:
+        change = totals.join(base, "n").select("n", ((F.col("total") - F.col("was")) * 100 / F.col("was")).alias("change"))
+        sums = out.groupBy("n").agg(F.sum("contribution").alias("sum")).join(change, "n")
+        out = out.join(sums.where(F.abs(F.col("sum") - F.col("change")) <= tolerance).select("n"), "n", "left_semi")
+    return out.drop("n")
 
 
 def top_with_others(rows: DataFrame, group: str, member: str, value: str, top: int, others: str = "OTHERS") -> DataFrame:
@@ -69,3 +74,56 @@ def in_polygon(points: DataFrame, edges: DataFrame) -> DataFrame:
     hits = near.select("id", "x", "y", "name", "order").join(F.broadcast(edges), ["name", "order"]).where(crossing).groupBy("id", "name", "order").agg(F.count("*").alias("n")).where("n % 2 = 1")
     first = hits.groupBy("id").agg(F.min_by("name", "order").alias("name"))
     return points.join(first, "id", "left")
+
+
+def index_weights(wide: DataFrame, parts: list[str], total: str, most_error: float = 0.02, sum_error: float = 0.001) -> DataFrame:
+    """part, weight: fixed weights with which the parts make up the total, by least squares; no rows unless they are sound.
+
+    Sound: at least len(parts) + 12 whole rows, each row made within most_error, weights above 0 with a sum of 1 within
+    sum_error. The normal equations are sums over the rows; only their len(parts)^2 numbers are solved on the driver.
+    """
+    import numpy as np
+
+    spark, n = wide.sparkSession, len(parts)
+    whole = wide.select(*[F.col(c).cast("double").alias(c) for c in (*parts, total)]).dropna()
+    columns = [*parts, total]
+    sums = whole.agg(F.count("*").alias("n"), *[F.sum(F.col(a) * F.col(b)).alias(f"{i}_{j}") for i, a in enumerate(parts) for j, b in enumerate(columns)]).first()
+    schema, none = "part string, weight double", []
+    if sums["n"] < n + 12:
+        return spark.createDataFrame(none, schema)
+    matrix = np.array([[sums[f"{i}_{j}"] for j in range(n)] for i in range(n)])
+    if np.linalg.matrix_rank(matrix) < n:
+        return spark.createDataFrame(none, schema)
+    weights = [float(w) for w in np.linalg.solve(matrix, np.array([sums[f"{i}_{n}"] for i in range(n)]))]
+    made = sum((F.col(c) * w for c, w in zip(parts, weights, strict=True)), F.lit(0.0))
+    error = whole.agg(F.max(F.abs(made - F.col(total))).alias("e")).first()["e"]
+    sound = error <= most_error and abs(sum(weights) - 1) <= sum_error and min(weights) > 0
+    return spark.createDataFrame(list(zip(parts, weights, strict=True)) if sound else none, schema)
+
+
+def open_days(readings: DataFrame, places: DataFrame, sections: DataFrame, decimals: int = 3) -> DataFrame:
+    """lat, lon, days, section: different days with an open incident in each cell, and the section named there most often.
+
+    readings has fecha, open (array of ids); places id, lat, lon; sections lat, lon, section. Of sections named as often the
+    least name counts.
+    """
+    seen = readings.select("fecha", F.explode("open").alias("id")).join(places, "id")
+    named = seen.join(sections, ["lat", "lon"], "left").withColumns({"cell_lat": F.round("lat", decimals), "cell_lon": F.round("lon", decimals)})
+    cell = ["cell_lat", "cell_lon"]
+    days = named.groupBy(*cell).agg(F.countDistinct("fecha").alias("days"))
+    votes = named.where("section IS NOT NULL").groupBy(*cell, "section").agg(F.count("*").alias("n"))
+    best = votes.groupBy(*cell).agg(F.min_by("section", F.struct(-F.col("n"), F.col("section"))).alias("section"))
+    return days.join(best, cell, "left").select(F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"), "days", "section")
+
+
+def located(readings: DataFrame, places: DataFrame, sections: DataFrame) -> DataFrame:
+    """id, lat, lon, section of the incidents that are open at the last reading; without a place they are left out."""
+    last = readings.agg(F.max_by("open", "ts").alias("open")).select(F.explode("open").alias("id"))
+    return last.join(places, "id").join(sections, ["lat", "lon"], "left").select("id", "lat", "lon", "section")
+
+
+def tiers(a: tuple[int, float, float], b: tuple[int, float, float]) -> Column:
+    """A or B of merchants with at least (orders, share completed, size), else C; missing values count as 0."""
+    have = lambda need: (F.coalesce("orders", F.lit(0)) >= need[0]) & (F.coalesce("completed", F.lit(0.0)) >= need[1]) & (F.coalesce("size", F.lit(0)) >= need[2])
+    merchant = F.coalesce("merchant", F.lit(0)) == 1
+    return F.when(merchant & have(a), "A").when(merchant & have(b), "B").otherwise("C")

@@ -48,3 +48,112 @@ def representatives(notes: DataFrame, cluster: str, tier: str) -> DataFrame:
     first = notes.withColumn("__k", F.row_number().over(order)).where("__k = 1").select(cluster, "id", "portal")
     sums = notes.groupBy(cluster).agg(F.max("score10").alias("best"), F.array_sort(F.collect_set("portal")).alias("portals"))
     return first.join(sums, cluster).select(cluster, "id", "best", F.array_join(F.array_remove(F.col("portals"), F.col("portal")), ",").alias("also_in"))
+
+
+def feed_places(notes: DataFrame) -> DataFrame:
+    """notes with place: date descending, score descending, id. Ranks are counted within a (date, score); blocks by sums."""
+    block = ["fecha", "score10"]
+    sizes = notes.groupBy(*block).agg(F.count("*").alias("n"))
+    # a row for each day and score
+    order = Window.orderBy(F.desc("fecha"), F.desc("score10"))
+    before = sizes.select(*block, (F.sum("n").over(order) - F.col("n")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy(*block).orderBy("id"))
+    ranked = notes.withColumn("rank", rank)
+    same = ranked["fecha"].eqNullSafe(before["fecha"]) & ranked["score10"].eqNullSafe(before["score10"])
+    return ranked.join(before, same).select(*[ranked[c] for c in notes.columns], (F.col("before") + F.col("rank")).alias("place"))
+
+
+def seen_within(rows: DataFrame, keys: list[str], order: list[str], days: int) -> DataFrame:
+    """rows with seen: whether the row before of the same key is at most `days` days older; order begins with the time."""
+    before = F.lag(order[0]).over(Window.partitionBy(*keys).orderBy(*order))
+    age = F.unix_micros(F.col(order[0]).cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
+    return rows.withColumn("seen", F.coalesce(age <= days * 86_400_000_000, F.lit(False)))
+
+
+def retry_candidates(notes: DataFrame, open_: str, cap: int, top: int) -> DataFrame:
+    """The `top` best notes that are still open (a condition) and had fewer than `cap` attempts."""
+    return notes.where(f"({open_}) AND attempts < {cap}").orderBy(F.desc("score10"), "id").limit(top)
+
+
+def rotated_pictures(notes: DataFrame, sets: dict[str, int], cooldown_days: int = 3) -> DataFrame:
+    """id, picture (slug-k) of notes (id, slug, fecha, hora): each note takes the picture of its slug's set that was used longest
+    ago, among those not used for `cooldown_days`, or of all if none is.
+
+    The choice depends on all before it, so a slug's notes are gone through in order in one group; only ids and dates are
+    in it. Slugs without a set and notes without a slug have no picture.
+    """
+    import pandas as pd
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["fecha", "hora", "id"], na_position="first", kind="stable")
+        n = sets[group["slug"].iloc[0]]
+        used, turn, out = [None] * n, [-1] * n, []
+        for seq, day in enumerate(group["fecha"]):
+            free = [k for k in range(n) if day is None or used[k] is None or (day - used[k]).days >= cooldown_days] or range(n)
+            k = min(free, key=lambda k: (turn[k], k))
+            out.append(k + 1)
+            turn[k] = seq
+            if day is not None:
+                used[k] = day
+        return pd.DataFrame({"id": group["id"], "picture": [f"{group['slug'].iloc[0]}-{k}" for k in out]})
+
+    good = F.coalesce(F.col("slug").isin(*[s for s, n in sets.items() if n > 0]), F.lit(False)) if sets else F.lit(False)
+    chosen = notes.where(good).select("id", "slug", "fecha", "hora").groupBy("slug").applyInPandas(choose, "id long, picture string")
+    return chosen.unionByName(notes.where(~good).select("id", F.lit(None).cast("string").alias("picture")))
+
+
+def portal_order(notes: DataFrame, portals: list[str]) -> DataFrame:
+    """notes in the order in which duplicates are looked for: by the portal's place in a list, others last, then score, then id."""
+    place = F.nullif(F.array_position(F.array(*[F.lit(p) for p in portals]), F.col("portal")), F.lit(0))
+    return notes.withColumn("portal_place", F.coalesce(place, F.lit(len(portals) + 1)).cast("int")).orderBy("portal_place", F.desc("score10"), "id")
+
+
+def boosted(score: Column, portal: Column, institutions: list[str], cut: int, plus: int = 10, most: int = 100) -> Column:
+    """The score of an institution's note that is over the cut, raised and capped; others as they are."""
+    return F.when(portal.isin(institutions) & (score >= cut), F.least(score + plus, F.lit(most))).otherwise(score)
+
+
+def impact(score: Column) -> Column:
+    """high from 80, medium from 70, else low (scores of 0 to 100)."""
+    return F.when(score >= 80, "high").when(score >= 70, "medium").otherwise("low")
+
+
+def funnel(notes: DataFrame, stages: list[tuple[str, Column]], kept: str = "kept") -> DataFrame:
+    """stage, n, total: each note under the first stage whose condition holds; a last row `unaccounted` is the total less all stages,
+    0 if the books balance."""
+    stage = F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), name) for name, c in stages], F.lit(kept))
+    counts = notes.groupBy(stage.alias("stage")).agg(F.count("*").alias("n"))
+    total = notes.agg(F.count("*").alias("total"))
+    rows = counts.crossJoin(F.broadcast(total))  # one row
+    rest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("sum")).crossJoin(F.broadcast(total)).select(F.lit("unaccounted").alias("stage"), (F.col("total") - F.col("sum")).alias("n"), "total")
+    return rows.unionByName(rest)
+
+
+def exit_log(populations: dict[str, DataFrame], today: str, keep_days: int = 30) -> DataFrame:
+    """url, fecha, reason of all exits: populations are (url, fecha) by reason; of several reasons for one url and day the last
+    population's counts, and what is older than keep_days is purged."""
+    parts = [rows.select("url", "fecha", F.lit(name).alias("reason"), F.lit(k).alias("k")) for k, (name, rows) in enumerate(populations.items())]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
+    recent = log.where(F.col("fecha") > F.date_sub(F.lit(today).cast("date"), keep_days))
+    return recent.groupBy("url", "fecha").agg(F.max_by("reason", "k").alias("reason"))
+
+
+def note_rows(candidates: DataFrame, categories: dict[str, str], summary_chars: int = 200, detail_chars: int = 2000) -> DataFrame:
+    """Candidates (url, published (UTC), portal, topic, title, body, score10) as notes: id, fecha, hora, source, category, title, summary,
+    detail, impact, domain. Local time is UTC-4; a topic without a category is `other`."""
+    from ..functions.text import cut_at_word, slug, summary, url_key
+
+    local = F.col("published") - F.expr("INTERVAL 4 HOURS")
+    category = F.create_map(*[F.lit(x) for pair in categories.items() for x in pair])[F.col("topic")]
+    return candidates.select(
+        F.substring(F.md5(url_key(F.col("url"))), 1, 16).alias("id"), F.to_date(local).alias("fecha"), F.date_format(local, "HH:mm").alias("hora"), slug(F.col("portal")).alias("source"),
+        F.coalesce(category, F.lit("other")).alias("category"), "title", summary(F.col("body"), summary_chars).alias("summary"), cut_at_word(F.col("body"), detail_chars, "…").alias("detail"),
+        impact(F.col("score10")).alias("impact"), F.regexp_extract(F.lower("url"), "^[a-z]+://([^/]+)", 1).alias("domain"),
+    )
+
+
+def without_picture(notes: DataFrame, today: str, days: int = 30) -> DataFrame:
+    """The notes of the last days that have no picture: candidates for another look at their page."""
+    return notes.where((F.col("fecha") > F.date_sub(F.lit(today).cast("date"), days)) & F.col("image").isNull())

@@ -15,20 +15,35 @@ def local(ts: str) -> Column:
     return F.col(ts) - F.expr("INTERVAL 4 HOURS")
 
 
-def as_of(targets: DataFrame, series: DataFrame, value: str = "rate", strict: bool = False, tolerance_days: int | None = None) -> DataFrame:
-    """fecha, as_of, <value> of the last day of series at or before (strict: before) each target day; NULL beyond the tolerance.
+def as_of(targets: DataFrame, series: DataFrame, value: str = "rate", strict: bool = False, tolerance_days: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, fecha, as_of, <value> of the last day of series at or before (strict: before) each target day, of the same key; NULL beyond
+    the tolerance.
 
-    Both sides have a row per day; they are merged in one order and the last known day is carried along.
+    Both sides are merged in one order and the last known day is carried along, within each year; what a year begins with is the
+    last day known in the years before, found on one row per key and year.
     """
-    marks = targets.select("fecha").distinct().select("fecha", F.lit(0 if strict else 1).alias("turn"), F.lit(None).cast("date").alias("day"), F.lit(None).cast(series.schema[value].dataType).alias("v"))
-    known = series.select("fecha", F.lit(1 if strict else 0).alias("turn"), F.col("fecha").alias("day"), F.col(value).alias("v"))
-    order = Window.orderBy("fecha", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    carried = marks.union(known).select("fecha", F.col("day").isNull().alias("asked"), F.last(F.when(F.col("day").isNotNull(), F.struct("day", "v")), ignorenulls=True).over(order).alias("k"))
-    out = carried.where("asked").select("fecha", F.col("k.day").alias("as_of"), F.col("k.v").alias(value))
+    keys = list(by)
+    year = F.year("fecha")
+    marks = targets.select(*keys, "fecha").distinct().select(*keys, "fecha", F.lit(0 if strict else 1).alias("turn"), F.lit(None).cast("date").alias("day"), F.lit(None).cast(series.schema[value].dataType).alias("v"))
+    known = series.select(*keys, "fecha", F.lit(1 if strict else 0).alias("turn"), F.col("fecha").alias("day"), F.col(value).alias("v"))
+    rows = marks.union(known).withColumn("__year", year)
+    last = lambda c: F.last(c, ignorenulls=True)
+    order = Window.partitionBy(*keys, "__year").orderBy("fecha", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    here = rows.withColumn("k", last(F.when(F.col("day").isNotNull(), F.struct("day", "v"))).over(order))
+    ends = rows.groupBy(*keys, "__year").agg(F.max_by(F.struct("day", "v"), F.when(F.col("day").isNotNull(), F.struct("fecha", "turn"))).alias("end"))
+    ends = ends.withColumn("end", F.when(F.col("end.day").isNotNull(), F.col("end")))
+    past = Window.partitionBy(*keys).orderBy("__year").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("before", last("end").over(past)).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__year").alias("__y"), "before")
+    same = F.col("__year") == F.col("__y")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    asked = here.where("day IS NULL").join(ends, same)
+    known_day = F.coalesce("k", "before")
+    out = asked.select(*keys, "fecha", known_day["day"].alias("as_of"), known_day["v"].alias(value))
     if tolerance_days is None:
         return out
     near = F.datediff("fecha", "as_of") <= tolerance_days
-    return out.select("fecha", F.when(near, F.col("as_of")).alias("as_of"), F.when(near, F.col(value)).alias(value))
+    return out.select(*keys, "fecha", F.when(near, F.col("as_of")).alias("as_of"), F.when(near, F.col(value)).alias(value))
 
 
 def nearest(targets: DataFrame, series: DataFrame, value: str = "rate") -> DataFrame:
@@ -96,6 +111,29 @@ def gaps(ticks: DataFrame, minutes: int = 20) -> DataFrame:
     return inside.union(across).where(seconds > minutes * 60_000_000).select(F.col("ts").alias("start"), F.col("next").alias("end"), F.floor((seconds + 30_000_000) / 60_000_000).cast("long").alias("minutes"))
 
 
+def busy_spells(ticks: DataFrame, minutes: int = 20) -> DataFrame:
+    """start, last, n (different times) of each stretch without a gap of `minutes` or more.
+
+    As in gaps(), times are ordered within their hour, where spells that both begin and end inside it are complete; only
+    spells that touch an hour's first or last time meet those of other hours, one or two rows per hour.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    wide = minutes * 60_000_000
+    hours = ticks.select("ts").where("ts IS NOT NULL").distinct().withColumn("hour", F.date_trunc("hour", "ts"))
+    order = Window.partitionBy("hour").orderBy("ts")
+    opens = F.coalesce(micros("ts") - micros("before") >= wide, F.lit(False)).cast("int")
+    inside = hours.withColumn("before", F.lag("ts").over(order)).withColumn("k", F.sum(opens).over(order))
+    spells = inside.groupBy("hour", "k").agg(F.min("ts").alias("start"), F.max("ts").alias("last"), F.count("*").alias("n"))
+    of_hour = Window.partitionBy("hour")
+    edge = (F.col("k") == 0) | (F.col("k") == F.max("k").over(of_hour))
+    spells = spells.withColumn("edge", edge)
+    line = Window.orderBy("start")  # two rows per hour at most
+    met = spells.where("edge").withColumn("before", F.lag("last").over(line))
+    met = met.withColumn("k", F.sum(F.coalesce(micros("start") - micros("before") >= wide, F.lit(True)).cast("int")).over(line))
+    joined = met.groupBy("k").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("n").alias("n"))
+    return spells.where("NOT edge").select("start", "last", "n").union(joined.select("start", "last", "n"))
+
+
 def candles(ticks: DataFrame, minutes: int = 30, keep: int = 48, value: str = "cents") -> DataFrame:
     """start, open, high, low, close, volume of the last `keep` windows that have ticks."""
     key = F.struct("ts", "event_id")

@@ -5,37 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..bindings import BOOK, MACRO, NOTE, TICK, book, macro, note, tick
+from ..bindings import MACRO, NOTE, TICK, macro, note, tick
+from ..operators import notes as notes_op
 from ..registry import query
 from ..session import table
 
 
-def documents_of(spark, sf_dir):
-    """The book packed as nested snapshot documents: one per snapshot, with versions, sides and pages of ads."""
-    ad = F.struct(F.col("ad_id"), F.col("price4"), F.col("size"))
-    pages = book(spark, sf_dir).groupBy("snapshot", "side", (F.col("ad_id") % 3).alias("page")).agg(F.collect_list(ad).alias("data"))
-    page = F.struct("page", F.when(F.col("page") == 2, "timeout").alias("error"), F.when(F.col("page") != 2, F.struct("data")).alias("response"))
-    sides = pages.groupBy("snapshot", "side").agg(F.collect_list(page).alias("pages"))
-    docs = sides.groupBy("snapshot").agg(F.map_from_entries(F.collect_list(F.struct("side", F.struct("pages")))).alias("sides"))
-    return docs.withColumn("schema_version", F.when(F.col("snapshot") < "1999", "v1").otherwise("v2"))
-
-
-@query("p01_flatten_snapshots", f"WITH {BOOK} SELECT snapshot, side, count(*) AS n, CAST(sum(size) AS BIGINT) AS depth, CAST(sum(price4) AS BIGINT) AS prices FROM book WHERE ad_id % 3 <> 2 AND snapshot < '1999' GROUP BY ALL")
-def p01(spark, sf_dir):
-    """S03 and S04 too: other versions and failed pages give no rows."""
-    docs = documents_of(spark, sf_dir).where(F.col("schema_version").isin("v1"))
-    sides = docs.select("snapshot", F.explode("sides").alias("side", "content"))
-    pages = sides.select("snapshot", "side", F.explode("content.pages").alias("p")).where("p.error IS NULL AND p.response IS NOT NULL")
-    ads = pages.select("snapshot", "side", F.explode("p.response.data").alias("ad"))
-    return ads.groupBy("snapshot", "side").agg(F.count("*").alias("n"), F.sum("ad.size").alias("depth"), F.sum("ad.price4").alias("prices"))
-
-
-@query("s04_failed_pages", f"WITH {BOOK} SELECT snapshot, side, CAST(2 AS BIGINT) AS page FROM book WHERE ad_id % 3 = 2 GROUP BY ALL")
-def s04(spark, sf_dir):
-    sides = documents_of(spark, sf_dir).select("snapshot", F.explode("sides").alias("side", "content"))
-    return sides.select("snapshot", "side", F.explode("content.pages").alias("p")).where("p.error IS NOT NULL").select("snapshot", "side", "p.page")
-
-
 @query("s02_file_by_stem", f"WITH {TICK}, f AS (SELECT event_id // 2 AS stem, CASE WHEN event_id % 2 = 0 THEN '.json' ELSE '.json.gz' END AS ext, user_id % 2 AS root FROM tick) SELECT stem, arg_min(ext, (ext <> '.json.gz', root)) AS ext FROM f GROUP BY stem")
 def s02(spark, sf_dir):
     files = tick(spark, sf_dir).select(F.expr("event_id DIV 2").alias("stem"), F.when(F.col("event_id") % 2 == 0, ".json").otherwise(".json.gz").alias("ext"), (F.col("user_id") % 2).alias("root"))
@@ -89,11 +64,10 @@ def j13(spark, sf_dir):
     return days.join(F.broadcast(bonds), (F.col("issue") <= F.col("fecha")) & (F.col("fecha") < F.col("maturity"))).select("fecha", "name")  # contractual terms
 
 
-@query("j16_seen_with_ttl", f"WITH {TICK}, s AS (SELECT DISTINCT user_id FROM tick WHERE ts > TIMESTAMP '2024-01-18' AND ts <= TIMESTAMP '2024-01-19' AND event_type = 'view') SELECT event_id FROM tick WHERE ts > TIMESTAMP '2024-01-25' AND user_id NOT IN (SELECT user_id FROM s)")
+@query("j16_seen_with_ttl", f"WITH {TICK}, p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS before FROM tick) SELECT event_id, before IS NOT NULL AND epoch_us(ts) - epoch_us(before) <= 604800000000 AS seen FROM p")
 def j16(spark, sf_dir):
-    rows = tick(spark, sf_dir)
-    seen = rows.where("ts > TIMESTAMP_NTZ '2024-01-18 00:00:00' AND ts <= TIMESTAMP_NTZ '2024-01-19 00:00:00' AND event_type = 'view'").select("user_id").distinct()
-    return rows.where("ts > TIMESTAMP_NTZ '2024-01-25 00:00:00'").join(seen, "user_id", "left_anti").select("event_id")
+    """Every tick, and whether its user and type were seen in the seven days before it."""
+    return notes_op.seen_within(tick(spark, sf_dir), ["user_id", "event_type"], ["ts", "event_id"], 7).select("event_id", "seen")
 
 
 @query("j17_existing_ids", f"WITH {NOTE} SELECT id, id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) AS collides FROM note")
@@ -139,9 +113,12 @@ def w31(spark, sf_dir):
     return rows.select("id", F.when(F.col("lang") == "fr", "lane").when(F.col("k") == 1, "lead").when(F.col("k") <= 6, "top").otherwise("rest").alias("section"))
 
 
-@query("t04_retry_candidates", f"WITH {NOTE} SELECT id FROM note WHERE quality IS NULL AND id % 4 < 3 ORDER BY score10 DESC, id LIMIT 5")
+@query("t04_retry_candidates", f"WITH {NOTE}, a AS (SELECT id, score10, quality, CAST(count(*) OVER (PARTITION BY coalesce(body, '')) AS BIGINT) AS attempts FROM note) SELECT id FROM a WHERE quality IS NULL AND attempts < 3 ORDER BY score10 DESC, id LIMIT 5")
 def t04(spark, sf_dir):
-    return note(spark, sf_dir).where("quality IS NULL AND id % 4 < 3").orderBy(F.desc("score10"), "id").limit(5).select("id")
+    """A text's rows stand for the attempts at it."""
+    rows = note(spark, sf_dir)
+    attempts = rows.groupBy(F.md5(F.coalesce("body", F.lit(""))).alias("key")).agg(F.count("*").alias("attempts"))
+    return notes_op.retry_candidates(rows.withColumn("key", F.md5(F.coalesce("body", F.lit("")))).join(attempts, "key", "left"), "quality IS NULL", 3, 5).select("id")
 
 
 @query("t06_latest_link", "SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, arg_max(page_id, (CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT), page_id)) AS page_id FROM pages WHERE regexp_matches(url, '/[0-9]+') GROUP BY 1")
@@ -180,13 +157,6 @@ def m02(spark, sf_dir):
     return note(spark, sf_dir).select("id", score.alias("score"))
 
 
-@query("m14_filing_groups", "SELECT conv_id, turn, role, CASE WHEN regexp_matches(lower(text), 'loan|desembolso') THEN 'prestamos' WHEN regexp_matches(lower(text), '[0-9]') THEN 'indicadores' WHEN length(text) < 80 THEN 'avisos' ELSE 'otros' END AS grupo, md5(text) AS text_md5 FROM conversations")
-def m14(spark, sf_dir):
-    t = F.lower("text")
-    group = F.when(t.rlike("loan|desembolso"), "prestamos").when(t.rlike("[0-9]"), "indicadores").when(F.length("text") < 80, "avisos").otherwise("otros")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", group.alias("grupo"), F.md5("text").alias("text_md5"))
-
-
 @query("m19_response_validity", "SELECT conv_id, turn, role = 'assistant' AND length(trim(text)) > 0 AND NOT regexp_matches(lower(text), '^(sorry|lo siento|n/a)') AS valid, md5(text) AS text_md5 FROM conversations")
 def m19(spark, sf_dir):
     valid = (F.col("role") == "assistant") & (F.length(F.trim("text")) > 0) & ~F.lower("text").rlike("^(sorry|lo siento|n/a)")

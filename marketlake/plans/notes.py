@@ -34,21 +34,21 @@ def f03(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", fn.name_key(name).alias("name_key"))
 
 
-@query("f07_url_key", """WITH a AS (SELECT page_id, regexp_replace(regexp_replace(lower(url), '#.*$', ''), '([?&])(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '\\1', 'g') AS u FROM pages),
- b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '&+', '&', 'g'), '[?]&', '?', 'g'), '[?&]+$', ''), '/+$', '') AS url FROM a) SELECT page_id, url, substr(md5(url), 1, 16) AS id FROM b""")
+@query("f07_url_key", """WITH a AS (SELECT page_id, regexp_replace(lower(trim(url)), '#.*$', '') AS u FROM pages), b AS (SELECT page_id, regexp_replace(regexp_extract(u, '^([^?]*)', 1), '/+$', '') AS path, list_filter(string_split(regexp_extract(u, '[?](.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=&]*|fbclid|gclid|mc_cid|mc_eid)(=|$)')) AS kept FROM a),
+ c AS (SELECT page_id, path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url FROM b) SELECT page_id, url, substr(md5(url), 1, 16) AS id FROM c""")
 def f07(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", fn.url_key(F.col("url")).alias("url"))
     return rows.withColumn("id", F.substring(F.md5("url"), 1, 16))
 
 
-@query("f08_html_text", "SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g'))) AS text_md5 FROM pages")
+@query("f08_html_text", "SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&#[0-9]+;|&[0-9A-Za-z_]+;', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g'))) AS text_md5 FROM pages")
 def f08(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(fn.html_text(F.col("html"))).alias("text_md5"))
 
 
-@query("f09_cut_at_word", f"WITH {NOTE}, h AS (SELECT id, title, substr(title, 1, 40) AS head, regexp_replace(substr(title, 1, 40), ' [^ ]*$', '') AS words FROM note) SELECT id, CASE WHEN length(title) <= 40 THEN title WHEN length(words) * 2 >= 40 THEN words ELSE head END AS short FROM h")
+@query("f09_cut_at_word", f"WITH {NOTE}, t AS (SELECT id, trim(body) AS t FROM note), h AS (SELECT id, t, substr(t, 1, 40) AS head, regexp_extract(substr(t, 1, 40), '(?s)^(.*) [^ ]*$', 1) AS words FROM t) SELECT id, CASE WHEN length(t) <= 40 THEN t ELSE regexp_replace(CASE WHEN length(words) >= 20 THEN words ELSE head END, '[ ,;:.]+$', '') || '…' END AS short FROM h")
 def f09(spark, sf_dir):
-    return note(spark, sf_dir).select("id", fn.cut_at_word(F.col("title"), 40).alias("short"))
+    return note(spark, sf_dir).select("id", fn.cut_at_word(F.col("body"), 40, "…").alias("short"))
 
 
 @query("f14_spanish_number", "WITH t AS (SELECT o_orderkey, CAST(o_orderkey % 900 AS VARCHAR) || '.' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') || ',' || CAST(o_orderkey % 10 AS VARCHAR) || CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END AS s FROM orders) SELECT o_orderkey, CASE WHEN regexp_matches(s, '^-?[0-9.]*,?[0-9]+$') THEN CAST(replace(replace(s, '.', ''), ',', '.') AS DOUBLE) END AS value FROM t")
@@ -57,12 +57,6 @@ def f14(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", fn.spanish_number(s).alias("value"))
 
 
-@query("f20_amounts", "SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '([0-9]{2})[0-9]*\\.[0-9]', 1))), ',') AS amounts FROM documents")
-def f20(spark, sf_dir):
-    found = F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([0-9]{2})[0-9]*\.[0-9]"), F.lit(1))))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, ",").alias("amounts"))
-
-
 @query("f29_url_host", "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host FROM pages")
 def f29(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"))
@@ -123,10 +117,9 @@ def f23(spark, sf_dir):
     return note(spark, sf_dir).select("id", F.when(F.col("score10") >= 80, "high").when(F.col("score10") >= 70, "medium").otherwise("low").alias("impact"))
 
 
-@query("t03_feed_order", f"WITH {NOTE} SELECT id, row_number() OVER (ORDER BY fecha DESC, score10 DESC, id) AS place FROM note QUALIFY place <= 100")
+@query("t03_feed_order", f"WITH {NOTE} SELECT id, row_number() OVER (ORDER BY fecha DESC, score10 DESC, id) AS place FROM note")
 def t03(spark, sf_dir):
-    top = note(spark, sf_dir).select("id", "fecha", "score10").orderBy(F.desc("fecha"), F.desc("score10"), "id").limit(100)
-    return top.select("id", F.row_number().over(Window.orderBy(F.desc("fecha"), F.desc("score10"), "id")).cast("long").alias("place"))  # 100 rows
+    return op.feed_places(note(spark, sf_dir)).select("id", "place")
 
 
 @query("j02_hidden_ids", f"WITH {NOTE} SELECT id, portal FROM note WHERE id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)")
@@ -142,9 +135,9 @@ def a34(spark, sf_dir):
     return table(spark, sf_dir, "labels").where("toxic = 1").agg(F.substring(F.sha2(ids, 256), 1, 16).alias("version"))
 
 
-@query("p10_section_labels", "WITH c AS (SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN substr(text, 1, 20) END AS head FROM conversations), d AS (SELECT conv_id, turn, max(head) AS head FROM c GROUP BY ALL) SELECT conv_id, turn, last_value(head IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM d")
+@query("p10_section_labels", "WITH c AS (SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN text END AS head FROM conversations), d AS (SELECT conv_id, turn, max(head) AS head FROM c GROUP BY ALL) SELECT conv_id, turn, last_value(head IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM d")
 def p10(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.substring("text", 1, 20)).alias("head"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("head"))
     rows = rows.groupBy("conv_id", "turn").agg(F.max("head").alias("head"))
     order = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     return rows.select("conv_id", "turn", F.last("head", ignorenulls=True).over(order).alias("section"))
