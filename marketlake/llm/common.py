@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Folders of local sessions that have no spark.checkpoint.dir, by application.
@@ -95,13 +95,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-#: Up to so many rows of ids a join may broadcast a side (some tens of bytes a row); beyond, Spark shuffles both.
+#: Up to so many values (ids, or elements of arrays: some tens of bytes each) a join may broadcast a side; beyond, Spark shuffles both.
 MOST_BROADCAST = 500_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df (a few columns of ids), to be broadcast if its counted rows allow it."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+def small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """df, to be broadcast if its counted rows allow it, or the sum of `weight`, the number of values in a row."""
+    n = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if n <= MOST_BROADCAST else df
 
 
 def file_system(uri: str):
