@@ -13,8 +13,10 @@ the kind in which its pattern has the highest confidence; base spans stay, and a
 The graph has a row for each different (pattern, instance), combined in each task before the shuffle, and is scored by joins
 and sums; no group is collected, so a phrase that stands in a third of all documents is a row.
 
-Defined results: a null text is empty; spans depend on the text alone, so repeated rows and null doc_ids each get those of
-their text; an empty table gives no rows; redact() returns the columns that came, with whatever names.
+Defined results: a null text is empty; whole texts count, however long, and so do the words before an identifier, however far
+back; spans depend on the text alone, so repeated rows and null doc_ids each get those of their text; of kinds tied for an
+added instance the later one listed counts; an empty table gives no rows; redact() returns the columns that came, with
+whatever names.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, save, small_batches
+from .common import documents, free_name, save, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -40,7 +42,6 @@ NUMBER = re.compile(r"(?<![0-9A-Za-z@])\+?\(?[0-9](?:[ ().-]{0,2}[0-9])++(?![0-9
 AT = re.compile(r"[^\s@]++@[^\s@]++")
 BEFORE = re.compile(r"[^\W\d_]+")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-CONTEXT = 60
 SUPPORT, CONFIDENCE = 10, 0.6
 
 
@@ -106,13 +107,27 @@ def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
             last = m.end()
     out = []
     for start, end, mask, kind in found:
-        words = BEFORE.findall(text[max(0, start - CONTEXT) : start])[-2:]
+        words = words_before(text, start)
         if len(words) == 2:
             pattern = xxhash.xxh3_64_intdigest(f"{words[0]} {words[1]}".lower())
             out.append({"start": start, "end": end, "pattern": pattern - (1 << 63), "instance": xxhash.xxh3_64_intdigest(text[start:end]) - (1 << 63), "mask": mask, "kind": kind})
     return out
 
 
+def words_before(text: str, end: int) -> list[str]:
+    """The last two whole words before a place, however far back; fewer if there aren't two."""
+    width = 64
+    while True:
+        begin = max(0, end - width)
+        found = list(BEFORE.finditer(text, begin, end))
+        # a word that the window's start may cut doesn't count yet
+        if begin and found and found[0].start() == begin:
+            found = found[1:]
+        if len(found) >= 2 or not begin:
+            return [m[0] for m in found[-2:]]
+        width *= 4
+
+
 SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 FOUND = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("pattern", pa.int64()), ("instance", pa.int64()), ("mask", pa.int32()), ("kind", pa.int32())])
 
@@ -189,15 +204,16 @@ def redact(docs: DataFrame) -> DataFrame:
     """docs with every span in `text` replaced by its kind in brackets, e.g. [email]."""
     _, extra = spans_of(docs)
     fields = docs.columns
-    rows = docs.withColumn("__extra", F.array().cast("array<struct<kind:int,start:int,end:int>>"))
+    added, key = free_name(fields, "added"), free_name(fields, "key")
+    rows = docs.withColumn(added, F.array().cast("array<struct<kind:int,start:int,end:int>>"))
     if extra is not None:
         # texts with added spans; one row for each different text
-        rows = docs.withColumn("__key", text_key()).join(extra.select(F.col("key").alias("__key"), F.col("extra").alias("__extra")), "__key", "left").drop("__key")
+        rows = docs.withColumn(key, text_key()).join(extra.select(F.col("key").alias(key), F.col("extra").alias(added)), key, "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, extra in zip(batch.column("text").to_pylist(), batch.column("__extra").to_pylist(), strict=True):
+            for text, extra in zip(batch.column("text").to_pylist(), batch.column(added).to_pylist(), strict=True):
                 if text is not None:
                     spans = [(s, e, k) for k, s, e in base_spans(text)] + [(x["start"], x["end"], KINDS[x["kind"]]) for x in extra or []]
                     parts, at = [], 0
