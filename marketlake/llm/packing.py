@@ -1,42 +1,47 @@
 """Packing by optimal length buckets.
 
-The lengths of all documents are counted in one global histogram. Dynamic programming over it chooses the bucket boundaries
-that minimise padding, given the number of buckets; each document is padded to its bucket's boundary, and consecutive
-documents of a bucket form batches of at most `budget` padded tokens (one document if it alone is longer).
+Lengths are token ids of a given tokenizer. The lengths of all documents are counted in one global histogram. Dynamic
+programming over it chooses the bucket boundaries that minimise padding, given the number of buckets; each document is
+padded to its bucket's boundary, and consecutive documents of a bucket form batches of at most `budget` padded tokens (one
+document if it alone is longer).
 
-The histogram has a row for each different padded length; beyond EXACT tokens lengths are rounded up to 1/256 of themselves,
-so that the driver gets a few thousand rows at most for any input. Batches need ranks in a bucket: rows are dealt into
-chunks by a hash, ranked in each chunk, and moved by the counts of the chunks before, so that a bucket with a third of all
-rows is as many tasks' work as it has chunks.
+The histogram is exact: it has a row for each different length, so its size is bounded by the longest text and not by the
+number of documents. Batches need ranks in a bucket: rows are dealt into chunks by a hash, ranked in each chunk, and moved by
+the counts of the chunks before, so that a bucket with a third of all rows is as many tasks' work as it has chunks.
 
 Defined results: a null or empty text has length 0 and its boundary may be 0 (such documents fill a batch of `budget`
-documents); ties in length go by the chunk and text hash; repeated rows have a place each; an empty table gives no rows.
+documents); whole texts count, however long; ties in length go by the chunk and text hash; repeated rows and null doc_ids
+have a place each; other columns, with whatever names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, save
+from .common import documents, save, small_batches
+from .token_ids import default_tokenizer, encoder_of
 
-EXACT = 1024
 BUCKETS, BUDGET = 16, 65_536
 CHUNK_ROWS = 50_000
 
 
-def length(text: Column) -> Column:
-    """Tokens of a text: its runs of anything but white space."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
+def lengths(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id, n_tokens, tie (a hash of the text) of every row."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(tokenizer_path, 4)
+        for batch in batches:
+            n = [len(encoder.encode(t)) // 4 for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), batch.column(1)], names=["doc_id", "n_tokens", "tie"])
 
-def rounded(tokens: Column) -> Column:
-    """A length as the histogram has it: exact up to EXACT, then up to the next of 256 steps in each power of two."""
-    step = F.expr("shiftleft(1L, greatest(0, CAST(floor(log2(greatest(n_tokens, 1))) AS INT) - 8))")
-    return F.when(tokens <= EXACT, tokens).otherwise(F.ceil(tokens / step) * step).cast("long")
+    small_batches(docs.sparkSession)
+    return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(count, "doc_id long, n_tokens long, tie long")
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -77,14 +82,13 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
 
 def pack(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Add bucket, boundary, batch, place and padding to rows (saved already) with n_tokens and tie."""
-    spark = rows.sparkSession
-    rows = rows.withColumn("padded", rounded(F.col("n_tokens")))
-    histogram = sorted((r["padded"], r["n"]) for r in rows.groupBy("padded").agg(F.count("*").alias("n")).collect())
+    # a row for each different length
+    histogram = sorted((r["n_tokens"], r["n"]) for r in rows.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())
     total = sum(n for _, n in histogram)
     ends = boundaries([s for s, _ in histogram], [n for _, n in histogram], buckets) if histogram else [0]
-    fits = pd.DataFrame([(s, k, e) for s, _ in histogram for k, e in [next((k, e) for k, e in enumerate(ends) if s <= e)]], columns=["padded", "bucket", "boundary"]).astype("int64")
-    # a row for each different length of the histogram, a few thousand at most
-    rows = rows.join(F.broadcast(spark.createDataFrame(fits, "padded long, bucket int, boundary long")), "padded").drop("padded")
+    edges = F.array(*[F.lit(e).cast("long") for e in ends])
+    bucket = F.size(F.filter(edges, lambda e: e < F.col("n_tokens")))
+    rows = rows.withColumn("bucket", bucket).withColumn("boundary", F.get(edges, F.col("bucket")))
     chunks = max(1, -(-total // CHUNK_ROWS))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("tie", "doc_id"), F.lit(chunks)).cast("int"))
     counts = rows.groupBy("bucket", "chunk").agg(F.count("*").alias("n"))
@@ -96,9 +100,9 @@ def pack(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataF
     return ranked.withColumns({"batch": F.floor(at / per_batch).cast("long"), "place": F.pmod(at, per_batch).cast("int"), "padding": F.col("boundary") - F.col("n_tokens")}).drop("chunk", "rank", "before", "tie")
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, bucket, boundary, batch (in the bucket), place (in the batch), padding of every row."""
-    rows = save(docs.select("doc_id", length(F.col("text")).alias("n_tokens"), F.xxhash64("text").alias("tie")), "lengths")
+    rows = save(lengths(docs, tokenizer_path or default_tokenizer()), "lengths")
     return pack(rows).select("doc_id", "n_tokens", "bucket", "boundary", "batch", "place", "padding")
 
 

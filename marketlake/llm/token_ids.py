@@ -9,8 +9,9 @@ Sections: `ends` (Elias-Fano: id count after each document), `keys` (Elias-Fano:
 high bits in unary as a bit vector, and a u32 directory with the place of every 64th set bit, by which select() finds any
 boundary without a table of 64-bit offsets.
 
-Defined results: a null text is empty and has the end id only; null doc_ids come before all others; rows with equal
-doc_id follow each other in the order of the text's hash; an empty table gives no file and no rows.
+Defined results: a null text is empty and has the end id only; whole texts are encoded, however long; null doc_ids come before
+all others; rows with equal doc_id follow each other in the order of the text's hash; other columns, with whatever names, are
+ignored; an empty table gives no file and no rows.
 """
 
 from __future__ import annotations
@@ -69,14 +70,20 @@ class EliasFano:
         return value
 
     def select(self, i: int) -> int:
-        """The i-th value: jump to the directory's set bit, then count set bits from there."""
+        """The i-th value: jump to the directory's set bit, then count set bits from there, some bytes at once."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        at, left = int(self.directory[i // DIRECTORY]), i % DIRECTORY
-        while left:
-            at += 1
-            if (int(self.high[at >> 3]) >> (at & 7)) & 1:
-                left -= 1
+        at, left, span = int(self.directory[i // DIRECTORY]), i % DIRECTORY, 16
+        if left:
+            byte = at >> 3
+            while True:
+                bits = np.unpackbits(self.high[byte : byte + span], bitorder="little")
+                bits[: (at & 7) + 1] = 0
+                places = np.flatnonzero(bits)
+                if len(places) >= left:
+                    at = 8 * byte + int(places[left - 1])
+                    break
+                span *= 2
         return ((at - i) << self.low_bits) | self._low(i)
 
     def values(self) -> np.ndarray:
@@ -207,7 +214,21 @@ def encoder_of(tokenizer_path: str, width: int) -> ChunkEncoder:
     return ChunkEncoder(tokenizer_path, width)
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 1, width: int = 2, file_ids: int = 4_000_000) -> DataFrame:
+def default_tokenizer() -> str:
+    """Path of the tokenizer that is used where none is given."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def id_width(tokenizer_path: str) -> int:
+    """Bytes of an id: 2 for a vocabulary of up to 65,536, else 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else 4
+
+
+def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id: int = 1, file_ids: int = 4_000_000) -> DataFrame:
     """Write the ids of all documents in ascending doc_id order; returns the manifest (part, seq, path, n_docs, n_ids).
 
     Each task encodes one range of doc_ids and closes a file at file_ids ids, so memory doesn't grow with the range. A
@@ -243,6 +264,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
             yield close()
 
     small_batches(docs.sparkSession)
+    width = id_width(tokenizer_path)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)
@@ -275,10 +297,7 @@ def read_token_files(manifest: DataFrame, out_dir: str) -> DataFrame:
 
 def op9_token_ids(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     """Encode all documents, write the files, read them back."""
-    if tokenizer_path is None:
-        import public_tokenizers
-
-        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer_path = tokenizer_path or default_tokenizer()
     out_dir = run_dir(spark, "token-ids")
     manifest = write_token_files(documents(spark, sf_dir), tokenizer_path, out_dir)
     return read_token_files(manifest, out_dir)
