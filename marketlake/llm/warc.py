@@ -6,7 +6,8 @@ after member from a stream, frames each record by Content-Length and verifies th
 
 Defined results: null html is an empty payload; rows tied at the largest page_id are all responses; a null page_id never
 is referred to unless the whole group has none, then each of its rows is a response; line breaks in a URL are escaped and
-a null URL becomes `urn:x-page:` and the id; an empty table gives no archive and no rows.
+a null URL becomes `urn:x-page:` and the id; whole payloads are stored, however long, one at a time in memory; other columns,
+with whatever names, are ignored; an empty table gives no archive and no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import file_system, run_dir, save, small_batches
+from .common import file_system, run_dir, save, small, small_batches
 
 DATE = "1970-01-01T00:00:00Z"
 
@@ -91,9 +92,10 @@ def write_archives(pages: DataFrame, out_dir: str, least_bytes: int = 0, file_by
     """Write page_id, url, html as WARC files; returns the manifest (path, n_records)."""
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumn("digest", F.unhex(F.sha1("html"))).withColumn("size", F.octet_length("html").cast("long"))
-    # the ids alone are grouped; equal payloads shrink to a row per task before the shuffle
-    first = pages.select("digest", "page_id").groupBy("digest").agg(F.max("page_id").alias("keeper"))
-    rows = pages.join(first, "digest")
+    # ids and digests alone are grouped and, of payloads that repeat, few enough to be sent to every task; beyond, pages are
+    # shuffled by digest
+    first = pages.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").select("digest", "keeper")
+    rows = pages.join(small(save(first, "warc-keepers")), "digest", "left")
     again = (F.col("size") >= least_bytes) & (F.coalesce("page_id", F.lit(-(1 << 63))) < F.col("keeper"))
     rows = rows.withColumn("again", F.coalesce(again, F.lit(False)))
     rows = rows.select("page_id", "url", "digest", "size", F.when(F.col("again"), F.col("keeper")).alias("refers_to"), F.when(~F.col("again"), F.col("html")).alias("html"))
