@@ -9,7 +9,8 @@ With load factor 1 the bounds are the exact even split, so counts differ by one
 moves fewer rows when a shard is added and bounds each shard by factor times the mean.
 
 Defined results: a null text has no bytes (size 8, crc32 0); a null doc_id hashes by the text's crc32; repeated rows keep
-a row each; an empty table gives no rows. Columns besides the key and text are ignored.
+a row each, also those that differ in nothing; whole texts count, however long; an empty table gives no rows. Columns besides
+the key and text, with whatever names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql.window import Window
 from .common import documents, save
 
 SLOTS = 1 << 14
+CHUNK_ROWS = 50_000
 
 
 def ring(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -69,17 +71,28 @@ def stretches(counts: dict[int, int], shards: int, vnodes: int, load_factor: flo
 
 
 def assign(df: DataFrame, shards: int = 24, vnodes: int = 64, load_factor: float = 1.0) -> DataFrame:
-    """Add shard and slot (gapless from 0 in each shard) to rows with the columns place (ring position) and tie columns."""
+    """Add shard and slot (gapless from 0 in each shard) to rows with the columns place (ring position) and tie columns.
+
+    Rows of a ring slot are ranked within chunks of it, dealt by a hash of the tie columns, and moved by the counts of the
+    chunks before, so that a key with a third of all rows is as many tasks' work as its slot has chunks.
+    """
     spark = df.sparkSession
+    ties = [c for c in df.columns if c != "place"]
     df = df.withColumn("ring_slot", F.shiftrightunsigned("place", 64 - SLOTS.bit_length() + 1).cast("int"))
     counts = {r["ring_slot"]: r["n"] for r in df.groupBy("ring_slot").agg(F.count("*").alias("n")).collect()}
     plan = pd.DataFrame(stretches(counts, shards, vnodes, load_factor), columns=["ring_slot", "a", "b", "shard", "base"])
     plan = spark.createDataFrame(plan.astype("int64"), "ring_slot int, a long, b long, shard int, base long")
-    order = Window.partitionBy("ring_slot").orderBy("place", *[c for c in df.columns if c not in ("place", "ring_slot")])
+    chunks = max(1, -(-max(counts.values(), default=0) // CHUNK_ROWS))
+    df = df.withColumn("chunk", F.pmod(F.xxhash64("place", *ties, F.lit(7)), F.lit(chunks)).cast("int"))
+    order = Window.partitionBy("ring_slot", "chunk").orderBy("place", *ties)
     ranked = df.withColumn("rank", F.row_number().over(order) - 1)
+    if chunks > 1:  # a row for each slot and chunk
+        sizes = df.groupBy("ring_slot", "chunk").agg(F.count("*").alias("n"))
+        before = sizes.select("ring_slot", "chunk", (F.sum("n").over(Window.partitionBy("ring_slot").orderBy("chunk")) - F.col("n")).alias("before"))
+        ranked = ranked.join(before, ["ring_slot", "chunk"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before")
     # at most SLOTS stretches and those that overflow, whatever the input
     found = ranked.join(F.broadcast(plan), ["ring_slot"]).where("rank >= a AND rank < b")
-    return found.withColumn("slot", F.col("base") + F.col("rank") - F.col("a")).drop("ring_slot", "rank", "a", "b", "base", "place")
+    return found.withColumn("slot", F.col("base") + F.col("rank") - F.col("a")).drop("ring_slot", "chunk", "rank", "a", "b", "base", "place")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
