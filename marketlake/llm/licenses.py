@@ -7,7 +7,9 @@ licence sentence. The sequence of numbers, unknown sentences left out, is matche
 whose sequence occurs takes its sentences, then the next rule looks at what is left. Everything happens within the row, so
 there is no shuffle and no skew.
 
-Defined results: a null or empty text has no sentences and no licences; repeated rows and null doc_ids keep their own rows.
+Defined results: a null or empty text has no sentences and no licences; whole texts are scanned, however long; of rules that
+claim the same sentences the earlier one has them; repeated rows and null doc_ids keep their own rows; other columns, with
+whatever names, are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,6 +44,13 @@ NAMES = {
     "CC-BY-3.0": ["cc by 3 0", "creative commons attribution 3 0 unported license"],
     "CC-BY-SA-3.0": ["cc by sa 3 0", "creative commons attribution sharealike 3 0 unported license"],
     "CC-BY-NC-3.0": ["cc by nc 3 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license 2 0", "epl 2 0"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license 1 0"],
+    "Zlib": ["zlib license"],
+    "Artistic-2.0": ["artistic license 2 0"],
+    "OFL-1.1": ["sil open font license version 1 1", "sil open font license 1 1"],
+    "EUPL-1.2": ["european union public licence version 1 2", "eupl 1 2"],
+    "PostgreSQL": ["postgresql license"],
 }
 #: Sentences of the licence texts and notices.
 SENTENCES = {
@@ -56,6 +65,10 @@ SENTENCES = {
     "apache-copy": "You may obtain a copy of the License at",
     "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
     "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc0-waive": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
@@ -91,6 +104,10 @@ def rules() -> list[tuple[str, list[int]]]:
         ("ISC", number["isc-grant"]),
         ("GPL-3.0-or-later", number["gpl-free"]),
         ("GPL-2.0-or-later", number["gpl2-free"]),
+        ("AGPL-3.0-or-later", number["agpl-free"]),
+        ("LGPL-2.1-or-later", number["lgpl-free"]),
+        ("Zlib", number["zlib-grant"]),
+        ("BSL-1.0", number["bsl-grant"]),
         ("MPL-2.0", number["mpl-subject"]),
         ("Unlicense", number["unlicense"]),
         ("CC0-1.0", number["cc0-waive"]),

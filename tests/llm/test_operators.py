@@ -347,10 +347,11 @@ def test_licenses_wrapped_over_lines(spark):
     rows = [
         (1, f"The MIT License\n\nCopyright (c) 2020 A. Name\n\n{texts['mit-grant']}\n\n{texts['mit-notice']}\n\nno warranty"),
         (2, "\n\n".join([*bsd, names])), (3, "\n".join([*bsd, names])), (4, "\r\n".join("\n".join(bsd).split("\n"))),
+        (9, texts["agpl-free"]), (10, texts["lgpl-free"]), (11, f"x\n\n{texts['zlib-grant']}\n\ny"), (12, texts["bsl-grant"]), (13, "Distributed under the Boost Software License, Version 1.0."),
         (5, f"a program\n\n{texts['gpl-free']}"), (6, commented), (7, texts["isc-grant"]), (8, "Title\nReleased under the MIT License\nmore\n\nAll rights reserved."),
     ]
     found = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found == {1: "MIT", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "GPL-3.0-or-later", 6: "GPL-2.0-or-later", 7: "ISC", 8: "MIT,proprietary"}
+    assert found == {1: "MIT", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "GPL-3.0-or-later", 6: "GPL-2.0-or-later", 7: "ISC", 8: "MIT,proprietary", 9: "AGPL-3.0-or-later", 10: "LGPL-2.1-or-later", 11: "Zlib", 12: "BSL-1.0", 13: "BSL-1.0"}
 
 
 def test_token_files(spark, docs, empty):
