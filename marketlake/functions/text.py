@@ -94,7 +94,7 @@ def sentences(text: Column) -> Column:
     short = "|".join(ABBREVIATIONS)
     # a mark before the white space of every such stop, taken back after an abbreviation or a word of one or two letters
     marked = F.regexp_replace(text, "([.!?])[ \\t\\n\\r]+(?=[«\"“¿¡A-ZÁÉÍÓÚÑ0-9])", "$1\u0001")
-    kept = F.regexp_replace(marked, f"(?i)((?:^|[ \\t\\n\\r(.\u0001])(?:{short}|\\p{{L}}{{1,2}})\\.)\u0001", "$1 ")
+    kept = F.regexp_replace(marked, f"(?i)(?<=^|[ \\t\\n\\r(\u0001])((?:{short}|\\p{{L}}{{1,2}})\\.+)\u0001", "$1 ")
     parts = F.transform(F.split(kept, "\u0001"), lambda s: F.trim(s))
     return F.filter(parts, lambda s: s != "")
 

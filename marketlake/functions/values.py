@@ -13,7 +13,7 @@ def delta_text(current: Column, reference: Column, unit: str = "BOB", least: flo
     d = current - reference
     size = F.format_string("%.2f", F.abs(d))
     text = F.when(F.abs(d) < least, F.lit(f"=0.00 {unit}")).when(d > 0, F.concat(F.lit("+"), size, F.lit(f" {unit}"))).otherwise(F.concat(F.lit("-"), size, F.lit(f" {unit}")))
-    return F.coalesce(text, F.lit(NONE))
+    return F.when(d.isNotNull(), text).otherwise(NONE)
 
 
 def _comma(value: Column, form: str) -> Column:
@@ -24,7 +24,7 @@ def short_amount(value: Column, currency: str = "Bs") -> Column:
     """Bs 25,0 M; Bs 30 mil; Bs 12; Bs 12,50: a decimal comma, millions and thousands named."""
     text = F.when(value >= 1e6, F.concat(_comma(value / 1e6, "%.1f"), F.lit(" M"))).when(value >= 1e3, F.concat(F.bround(value / 1e3).cast("long").cast("string"), F.lit(" mil")))
     text = text.when(value == F.floor(value), F.floor(value).cast("string")).otherwise(_comma(value, "%.2f"))
-    return F.concat(F.lit(f"{currency} "), text)
+    return F.when(value.isNotNull(), F.concat(F.lit(f"{currency} "), text))
 
 
 def visits_text(n: Column) -> Column:
@@ -34,7 +34,7 @@ def visits_text(n: Column) -> Column:
 
 def percent_text(value: Column) -> Column:
     """+1,25%, -1,25% or 0,00%, or a dash."""
-    return F.coalesce(F.concat(F.when(value > 0, "+").otherwise(""), _comma(value, "%.2f"), F.lit("%")), F.lit(NONE))
+    return F.when(value.isNotNull(), F.concat(F.when(value > 0, "+").otherwise(""), _comma(value, "%.2f"), F.lit("%"))).otherwise(NONE)
 
 
 def volume_text(value: Column) -> Column:

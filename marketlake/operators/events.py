@@ -7,8 +7,10 @@ day is paired with itself; notes that are equal in all that the comparison sees
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..sources.folders import Scratch
 
@@ -100,3 +102,25 @@ def repeated(notes: DataFrame, days: int = 7, title: float = 0.70, with_entity:
     hit = candidates(firsts, firsts, with_entity, recent & same_event("a", "b", title, with_entity, with_amount)).select(F.col("b").alias("n"), F.lit(True).alias("hit")).distinct()
     numbered = rows.join(alike, [rows[c].eqNullSafe(alike[c]) for c in same]).select(rows["id"], "n")
     return numbered.join(hit, "n", "left").select("id", F.coalesce("hit", F.lit(False)).alias("repeated"))
+
+
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, 64 and more characters a step: bit k of `row` is off where b's first letters end a
+    common subsequence at a's k-th."""
+    places: dict[str, int] = {}
+    for k, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << k
+    full = (1 << len(a)) - 1
+    row = full
+    for x in b:
+        hit = row & places.get(x, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
+
+
+@F.pandas_udf(DoubleType())
+def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Similarity of two texts' sorted tokens: twice the longest common subsequence over both lengths. For pairs, not for tables of
+    texts with each other."""
+    order = lambda t: " ".join(sorted((t or "").split()))
+    return pd.Series([2 * common_length(x, y) / (len(x) + len(y)) if x or y else 1.0 for x, y in zip(map(order, a), map(order, b), strict=True)], dtype="float64")

@@ -212,3 +212,11 @@ def m18(spark, sf_dir):
 def m07(spark, sf_dir):
     rows = note(spark, sf_dir).select("id", op.boosted(F.col("score10"), F.col("portal"), ["src1", "src2"], 67).alias("boosted"))
     return rows.withColumn("impact", op.impact(F.col("boosted")))
+
+
+@query("f21_token_sort_ratio")
+def f21b(spark, sf_dir):
+    """Each title with the one before it in its portal."""
+    before = F.lag("title").over(Window.partitionBy("portal").orderBy("id"))
+    rows = note(spark, sf_dir).select("id", "title", before.alias("before")).where("before IS NOT NULL")
+    return rows.select("id", F.round(ev.token_sort_ratio("title", "before"), 9).alias("ratio"))

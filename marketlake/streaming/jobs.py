@@ -82,7 +82,7 @@ def membership_flow(snapshots: DataFrame, key: str = "side") -> DataFrame:
             now = set(now)
             out.append((name[0], snapshot, len(now), 0 if last is None else len(now - before), 0 if last is None else len(before - now)))
             last, before = snapshot, now
-        state.update((last, sorted(before)))
+        state.update((None if last is None else str(last), sorted(int(m) for m in before)))
         yield pd.DataFrame(out, columns=[key, "snapshot", "n", "new", "gone"]).astype({"n": "int64", "new": "int64", "gone": "int64"})
 
     shape = f"{key} string, snapshot string, n long, new long, gone long"
