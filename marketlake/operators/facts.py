@@ -122,8 +122,49 @@ def located(readings: DataFrame, places: DataFrame, sections: DataFrame) -> Data
     return last.join(places, "id").join(sections, ["lat", "lon"], "left").select("id", "lat", "lon", "section")
 
 
-def tiers(a: tuple[int, float, float], b: tuple[int, float, float]) -> Column:
-    """A or B of merchants with at least (orders, share completed, size), else C; missing values count as 0."""
-    have = lambda need: (F.coalesce("orders", F.lit(0)) >= need[0]) & (F.coalesce("completed", F.lit(0.0)) >= need[1]) & (F.coalesce("size", F.lit(0)) >= need[2])
-    merchant = F.coalesce("merchant", F.lit(0)) == 1
-    return F.when(merchant & have(a), "A").when(merchant & have(b), "B").otherwise("C")
+def tiers(orders: int = 100, completed: float = 0.95, size: float = 500, some_orders: int = 20) -> Column:
+    """Of the columns merchant, orders, completed, size (NULL counts as 0): A for merchants with at least so many orders, such a
+    share completed and such a size; B for other merchants and whoever has some_orders; else C."""
+    have = {c: F.coalesce(c, F.lit(0)) for c in ("merchant", "orders", "completed", "size")}
+    merchant = have["merchant"] == 1
+    best = merchant & (have["orders"] >= orders) & (have["completed"] >= completed) & (have["size"] >= size)
+    return F.when(best, "A").when(merchant | (have["orders"] >= some_orders), "B").otherwise("C")
+
+
+def categories(event: Column, of: dict[str, str], filtered: list[str], rest: str = "other") -> Column:
+    """The category of an event by a map; rest for unknown ones, NULL for those that are none (filtered)."""
+    known = F.create_map(*[F.lit(x) for pair in of.items() for x in pair])
+    return F.when(F.coalesce(event, F.lit("")).isin(filtered), None).otherwise(F.coalesce(known[event], F.lit(rest)))
+
+
+def active_days(ranges: DataFrame, keys: list[str], since: str, last_reading: Column) -> DataFrame:
+    """keys, days: different days on which a range (start, end; NULL while it lasts) is open, from `since` to the last reading."""
+    start, end = F.greatest("start", F.lit(since).cast("date")), F.least(F.coalesce("end", last_reading), last_reading)
+    open_ = ranges.where(start <= end).select(*keys, F.explode(F.sequence(start, end)).alias("day"))
+    return open_.groupBy(*keys).agg(F.countDistinct("day").alias("days"))
+
+
+def sparse_fields(columns: list[str]) -> Column:
+    """Map of the columns that aren't NULL, as text."""
+    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
+    return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+
+
+def crosswalk(rows: DataFrame, by_code: DataFrame, by_name: DataFrame, region: str = "region", name: str = "name") -> tuple[DataFrame, DataFrame]:
+    """(rows with target, rows that match nothing): by code first (code, target), then by region and name (region, name, target) where
+    these name one target only."""
+    unique = by_name.groupBy(region, name).agg(F.countDistinct("target").alias("n"), F.min("target").alias("by_name")).where("n = 1").drop("n")
+    codes = by_code.select("code", F.col("target").alias("by_code"))
+    both = rows.join(codes, "code", "left").join(unique, [region, name], "left").withColumn("target", F.coalesce("by_code", "by_name")).drop("by_code", "by_name")
+    return both.where("target IS NOT NULL"), both.where("target IS NULL").drop("target")
+
+
+def fingerprint(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with a number for each column and for the whole table, and n: equal for tables of the same rows in any order.
+
+    Sums modulo 2^60 of hashes of the values as text, so repeated rows count; NULL is unlike an empty text.
+    """
+    text = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("NULL"))
+    number = lambda t: F.conv(F.substring(F.md5(t), 1, 12), 16, 10).cast("long")
+    total = lambda t: F.pmod(F.sum(number(t)), F.lit(1 << 60))
+    return rows.agg(*[total(text(c)).alias(c) for c in columns], total(F.concat_ws("|", *[text(c) for c in columns])).alias("whole"), F.count("*").alias("n"))

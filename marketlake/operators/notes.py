@@ -157,3 +157,71 @@ def note_rows(candidates: DataFrame, categories: dict[str, str], summary_chars:
 def without_picture(notes: DataFrame, today: str, days: int = 30) -> DataFrame:
     """The notes of the last days that have no picture: candidates for another look at their page."""
     return notes.where((F.col("fecha") > F.date_sub(F.lit(today).cast("date"), days)) & F.col("image").isNull())
+
+
+def rotated_cap(notes: DataFrame, cap: int, incumbent: str = "incumbent", newest: str = "newest") -> DataFrame:
+    """notes with fate: kept, evicted (an incumbent that isn't kept) or left out (a candidate that isn't).
+
+    The best `cap` of a day stay. A candidate replaces the day's least incumbent only if strictly better, so incumbents win
+    ties; of incumbents with one score the newest stays. The cut is found by counting scores, and only the notes at the cut's
+    own score are ranked, so a day of very many notes isn't sorted in one task.
+    """
+    counts = notes.groupBy("fecha", "score10").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.partitionBy("fecha").orderBy(F.desc("score10"))) - F.col("n")
+    # a row for each day and score
+    edge = counts.withColumn("above", above).where((F.col("above") < cap) & (F.col("above") + F.col("n") > cap)).select(F.col("fecha").alias("__f"), F.col("score10").alias("__s"), (cap - F.col("above")).alias("__room"))
+    least = counts.withColumn("above", above).where(F.col("above") < cap).groupBy("fecha").agg(F.min("score10").alias("__least"))
+    rows = notes.join(least, "fecha", "left")
+    tied = rows.join(edge, (F.col("fecha") == F.col("__f")) & (F.col("score10") == F.col("__s")), "left")
+    at_edge = tied.where("__room IS NOT NULL")
+    rank = F.row_number().over(Window.partitionBy("fecha").orderBy(F.desc(incumbent), F.desc(newest), "id"))
+    ranked = at_edge.withColumn("__kept", rank <= F.col("__room"))
+    clear = tied.where("__room IS NULL").withColumn("__kept", F.coalesce(F.col("score10") >= F.col("__least"), F.lit(False)))
+    fate = F.when(F.col("__kept"), "kept").when(F.col(incumbent) == 1, "evicted").otherwise("left out")
+    return ranked.unionByName(clear).select(*[F.col(c) for c in notes.columns], fate.alias("fate"))
+
+
+def lane_budget(candidates: DataFrame, used: DataFrame, budget: int, lane: str, day: str, order: list[str]) -> DataFrame:
+    """The first candidates of each lane and day, as many as the budget less what is used already (lane, day, used)."""
+    left = used.select(F.col(lane).alias("__l"), F.col(day).alias("__d"), "used")
+    rank = F.row_number().over(Window.partitionBy(lane, day).orderBy(*order))
+    rows = candidates.withColumn("__k", rank).where(F.col("__k") <= budget)
+    rows = rows.join(left, rows[lane].eqNullSafe(F.col("__l")) & rows[day].eqNullSafe(F.col("__d")), "left")
+    return rows.where(F.col("__k") <= budget - F.coalesce("used", F.lit(0))).select(*candidates.columns)
+
+
+def fresh_quotes(quotes: DataFrame, now: Column, minutes: int = 30) -> DataFrame:
+    """quotes (source, bid, ask, ts) with fresh: snapshots always, others with both sides and at most `minutes` old; a quote without
+    a time isn't old."""
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+    two_sided = F.col("bid").isNotNull() & F.col("ask").isNotNull()
+    fresh = F.coalesce(F.contains("source", F.lit("snapshot")), F.lit(False)) | (two_sided & F.coalesce(age <= minutes * 60_000_000, F.lit(True)))
+    return quotes.withColumn("fresh", fresh)
+
+
+def source_cascade(quotes: DataFrame, priority: list[str], key: str = "key") -> DataFrame:
+    """The fresh quote of each key from the first source of the list; other sources come last, then the newest."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("source")), F.lit(0)), F.lit(len(priority) + 1))
+    best = F.struct(place.alias("p"), (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("t"))
+    return quotes.where("fresh").groupBy(key).agg(F.min_by(F.struct("source", "bid", "ask", "ts"), best).alias("q")).select(key, "q.*")
+
+
+def spend(ledger: DataFrame, cap: int) -> DataFrame:
+    """ledger (month, ts, id, cost) with allowed: whether the month's cost before the call is under the cap.
+
+    A month's calls are summed by day first, so that only a day's calls are ordered in one place.
+    """
+    days = ledger.withColumn("__day", F.to_date("ts"))
+    sums = days.groupBy("month", "__day").agg(F.sum("cost").alias("c"))
+    before = sums.select("month", "__day", (F.sum("c").over(Window.partitionBy("month").orderBy("__day")) - F.col("c")).alias("__before"))
+    past = Window.partitionBy("month", "__day").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = days.join(before, ["month", "__day"]).withColumn("__spent", F.col("__before") + F.coalesce(F.sum("cost").over(past), F.lit(0)))
+    return rows.withColumn("allowed", F.col("__spent") < cap).drop("__day", "__before", "__spent")
+
+
+def log_levels(lines: DataFrame, now: Column, hours: int = 24, levels: tuple[str, ...] = ("ERROR", "WARN", "INFO")) -> DataFrame:
+    """level, n of log lines (text that begins with a time and a level) of the last hours."""
+    listed = "|".join(levels)
+    parsed = lines.select(F.regexp_extract("line", r"^([0-9-]{10}[T ][0-9:]{8})", 1).try_cast("timestamp").alias("ts"), F.regexp_extract("line", rf"\b({listed})\b", 1).alias("level"))
+    recent = (F.unix_micros(now.cast("timestamp")) - F.unix_micros("ts")).between(0, hours * 3_600_000_000)
+    return parsed.where(recent & (F.col("level") != "")).groupBy("level").agg(F.count("*").alias("n"))

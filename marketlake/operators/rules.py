@@ -285,3 +285,19 @@ def usable_response(text: Column, sentinel: str, refusals: list[str]) -> Column:
     for phrase in refusals:
         ok = ok & ~F.contains(one, F.lit(phrase))
     return ok
+
+
+def keyword_score(text: Column, portal: Column, excluded: list[str], forced: list[str], topics: dict[str, list[str]], gated: tuple[list[str], list[str]] = ((), ())) -> Column:
+    """0 with an excluded word, or for a gated portal without one of the anchors; 10 with a forced one; else the words of the best topic."""
+    has = lambda word: F.contains(text, F.lit(word))
+
+    def some(words) -> Column:
+        hit = F.lit(False)
+        for w in words:
+            hit = hit | has(w)
+        return hit
+
+    counts = [sum((has(w).cast("int") for w in words), F.lit(0)) for words in topics.values()]
+    portals, anchors = gated
+    shut = some(excluded) | (F.coalesce(portal.isin(list(portals)), F.lit(False)) & ~some(anchors) if portals else F.lit(False))
+    return F.when(shut, 0).when(some(forced), 10).otherwise(F.array_max(F.array(*counts)))

@@ -291,8 +291,8 @@ def j15(spark, sf_dir):
     return facts.located(*incidents(spark, sf_dir))
 
 
-@query("p06_merchant_tiers", "WITH s AS (SELECT o_custkey, count(*) AS orders, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS completed, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS size FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' AND coalesce(orders, 0) >= 12 AND coalesce(completed, 0) >= 0.3 AND coalesce(size, 0) >= 10000000 THEN 'A' WHEN c_mktsegment <> 'BUILDING' AND coalesce(orders, 0) >= 6 AND coalesce(completed, 0) >= 0.2 AND coalesce(size, 0) >= 1000000 THEN 'B' ELSE 'C' END AS tier FROM customer LEFT JOIN s ON o_custkey = c_custkey")
+@query("p06_merchant_tiers", "WITH s AS (SELECT o_custkey, count(*) AS orders, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS completed, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS size FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' AND coalesce(orders, 0) >= 12 AND coalesce(completed, 0) >= 0.3 AND coalesce(size, 0) >= 10000000 THEN 'A' WHEN c_mktsegment <> 'BUILDING' OR coalesce(orders, 0) >= 14 THEN 'B' ELSE 'C' END AS tier FROM customer LEFT JOIN s ON o_custkey = c_custkey")
 def p06(spark, sf_dir):
     sums = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"), F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("completed"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("size"))
     rows = table(spark, sf_dir, "customer").join(sums, "c_custkey", "left").withColumn("merchant", (F.col("c_mktsegment") != "BUILDING").cast("int"))
-    return rows.select("c_custkey", facts.tiers((12, 0.3, 10_000_000), (6, 0.2, 1_000_000)).alias("tier"))
+    return rows.select("c_custkey", facts.tiers(12, 0.3, 10_000_000, 14).alias("tier"))
