@@ -412,6 +412,15 @@ def test_compact_windows_hold_every_minimum():
             assert sum(left <= i and j <= right and m == c for left, m, right in windows) == 1
 
 
+def test_windows_by_minima_equal_the_recursion():
+    rng = np.random.default_rng(5)
+    for n, top in ((0, 9), (19, 9), (20, 5), (200, 4), (300, 1 << 40), (1000, 1), (1000, 1 << 40)):
+        h = rng.integers(0, top, n, dtype=np.uint64)
+        c, before, after = passages.tree_windows(h)
+        want = {m: (min(m - left, passages.REACH), min(right - m, passages.REACH)) for left, m, right in passages.compact_windows(h)}
+        assert {int(m): (int(x), int(y)) for m, x, y in zip(c, before, after)} == want
+
+
 def test_near_passage_across_edits():
     base = prose(120, 50)
     a, b = shingles_of(f"{prose(30, 51)} {base} {prose(30, 52)}"), shingles_of(f"{prose(10, 53)} {edited(base, [60])} {prose(9, 54)}")
