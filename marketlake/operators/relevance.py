@@ -26,7 +26,7 @@ def _pipeline(features: int) -> Pipeline:
 
 def f1_of(guesses: DataFrame) -> float:
     """F1 of the class 1 in (label, guess)."""
-    r = guesses.agg(F.count_if("label = 1 AND guess = 1").alias("tp"), F.count_if("label = 0 AND guess = 1").alias("fp"), F.count_if("label = 1 AND guess = 0").alias("fn")).first()
+    r = guesses.agg(F.count_if(F.expr("label = 1 AND guess = 1")).alias("tp"), F.count_if(F.expr("label = 0 AND guess = 1")).alias("fp"), F.count_if(F.expr("label = 1 AND guess = 0")).alias("fn")).first()
     return 2 * r["tp"] / max(2 * r["tp"] + r["fp"] + r["fn"], 1)
 
 
