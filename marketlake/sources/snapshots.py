@@ -124,7 +124,7 @@ class SnapshotTable:
         if advance and mark:
             n = self._count()
             self.spark.createDataFrame([(mark, n)], "watermark string, n long").write.mode("append").json(f"{self.target}/state")
-        n_rows = flatten(chosen).count() if counts["n_files"] else 0
+        n_rows = self.rows().join(files.select("stem"), "stem", "left_semi").count() if counts["n_files"] else 0
         return Load(mark, counts["n_files"], counts["n_bad"], n_rows)
 
     def _count(self) -> int:
