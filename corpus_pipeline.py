@@ -1,6 +1,10 @@
 """The corpus pipeline: quality rules, near-dedup, benchmark decontamination, PII redaction, packing.
 
 Each stage works on all that the one before kept. run() writes each stage's result to the shared folder and reads it again.
+
+Defined results, the same in every stage: a null text is an empty one; whole texts count, however long; null doc_ids keep their
+rows and pass like others; all columns pass through up to the last stage, whatever their names; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -16,27 +20,27 @@ from marketlake.llm.quality import keep_good
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null and empty texts go; repeated rows are judged alike."""
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the least doc_id."""
+    """One document of each near-duplicate class, the one with the least doc_id; of rows tied for it one stays."""
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which no benchmark item leaks."""
+    """Documents into which no benchmark item leaks. Null and empty texts and items never do; a similarity of exactly 0.8 does."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced in their text; n_chars is still that of the text as it came."""
+    """Documents with personal data replaced in their text; n_chars is still that of the text as it came, and null stays null."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's batch."""
+    """Each document's batch. Null and empty texts have length 0; ties in length go by a hash of the text."""
     return packed(docs)
 
 
