@@ -166,5 +166,5 @@ def fingerprint(rows: DataFrame, columns: list[str]) -> DataFrame:
     """
     text = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("NULL"))
     number = lambda t: F.conv(F.substring(F.md5(t), 1, 12), 16, 10).cast("long")
-    total = lambda t: F.pmod(F.sum(number(t)), F.lit(1 << 60))
+    total = lambda t: F.pmod(F.sum(number(t).cast("decimal(20,0)")), F.lit(1 << 60).cast("decimal(20,0)")).cast("long")
     return rows.agg(*[total(text(c)).alias(c) for c in columns], total(F.concat_ws("|", *[text(c) for c in columns])).alias("whole"), F.count("*").alias("n"))

@@ -82,7 +82,7 @@ def evaluated(notes: DataFrame, scale: Scale, excluded: list[str], anchors: list
     is_floor = F.col("portal") == floor_portal if floor_portal is not None else F.lit(False)
     low = F.coalesce(F.col("adjusted_score") < threshold, F.lit(True)) & ~F.coalesce(is_floor, F.lit(False))
     reason = F.when(F.col("__out"), "excluded word").when(~F.col("__in"), "no anchor").when(low, "below threshold")
-    ten = F.round(F.col("adjusted_score") * 10, 1)
+    ten = F.floor(F.col("adjusted_score") * 100 + 0.5 + 1e-9) / 10  # to a tenth, halves up, whatever their last bit
     score = F.when(F.col("discarded_by").isNotNull(), 0.0).when(is_floor, F.greatest(ten, F.lit(floor))).otherwise(ten)
     return rows.withColumn("discarded_by", reason).withColumn("score", score).withColumn("rules_version", F.lit(scale.version)).drop("__text", "__out", "__in")
 

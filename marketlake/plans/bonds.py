@@ -117,9 +117,9 @@ def m27(spark, sf_dir):
 
 
 @query("a41_debt_service", f"""WITH {TERMS}, s AS (SELECT CAST(year(pay_day) AS INTEGER) AS year, bond, sum((coupon + principal) * amount / 100) AS paid FROM paid GROUP BY ALL), t AS (SELECT year, sum(paid) AS paid FROM s GROUP BY 1)
-SELECT year, bond, round(paid, 2) AS paid, false AS peak FROM s UNION ALL SELECT year, NULL, round(paid, 2), row_number() OVER (ORDER BY paid DESC, year) = 1 FROM t""")
+SELECT year, bond, round(paid, 6) AS paid, false AS peak FROM s UNION ALL SELECT year, NULL, round(paid, 6), row_number() OVER (ORDER BY paid DESC, year) = 1 FROM t""")
 def a41(spark, sf_dir):
-    return op.debt_service(terms(spark, sf_dir)).withColumn("paid", F.round("paid", 2))
+    return op.debt_service(terms(spark, sf_dir)).withColumn("paid", F.round("paid", 6))
 
 
 @query("m31_spread_checks", f"WITH {RATE}, r AS (SELECT fecha, CAST(rate % 40 AS DOUBLE) / 4 AS own, CASE WHEN rate % 11 <> 0 THEN CAST(rate % 28 AS DOUBLE) / 4 END AS pub FROM rate), g AS (SELECT fecha, own - pub - 1.5 :: DOUBLE AS gap_bp FROM r) SELECT fecha, gap_bp, CASE WHEN gap_bp IS NULL THEN 'missing' WHEN abs(gap_bp) > 5 THEN 'fail' WHEN abs(gap_bp) > 2 THEN 'warn' ELSE 'ok' END AS verdict FROM g")

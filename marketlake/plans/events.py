@@ -126,7 +126,7 @@ def m03(spark, sf_dir):
     return rows.select("id", "penalised_by", F.round("adjusted_score", 6).alias("adjusted_score"))
 
 
-@query("m04_evaluation_cascade", f"WITH {GATED} SELECT id, discarded_by, CASE WHEN discarded_by IS NOT NULL THEN 0.0 :: DOUBLE WHEN portal = 'src4' THEN greatest(round(adjusted_score * 10, 1), 9.0 :: DOUBLE) ELSE round(adjusted_score * 10, 1) END AS score, 1 AS rules_version FROM di")
+@query("m04_evaluation_cascade", f"WITH {GATED} SELECT id, discarded_by, CASE WHEN discarded_by IS NOT NULL THEN 0.0 :: DOUBLE WHEN portal = 'src4' THEN greatest(floor(adjusted_score * 100 + 0.5 :: DOUBLE + 1e-9 :: DOUBLE) / 10, 9.0 :: DOUBLE) ELSE floor(adjusted_score * 100 + 0.5 :: DOUBLE + 1e-9 :: DOUBLE) / 10 END AS score, 1 AS rules_version FROM di")
 def m04(spark, sf_dir):
     rows = rules.evaluated(scored(spark, sf_dir), SCALE, EXCLUDED, ANCHORS, floor_portal="src4")
     return rows.select("id", "discarded_by", "score", "rules_version")
