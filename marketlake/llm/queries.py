@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from . import licenses
+from .alignment import op13_alignment
+from .byte_bpe import op12_byte_bpe
+from .conversations import op11_conversations
 from .decontam import op7_decontamination
 from .licenses import op8_licenses
 from .minhash import op1_minhash
@@ -25,5 +28,8 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_token_ids": op9_token_ids,
     "op10_passages": op10_passages,
+    "op11_conversations": op11_conversations,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
 }
 ORACLE_SQL: dict[str, str] = {"op8_licenses": licenses.oracle()}
