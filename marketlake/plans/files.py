@@ -17,12 +17,14 @@ from ..sources import sinks
 from ..sources.folders import shared_folder
 from ..sources.snapshots import SnapshotTable, bad_files, failed_pages, flatten, one_per_stem, listed, read_documents
 
-STEM = "strftime(l_shipdate, '%Y%m01') || 'T' || l_orderkey % 4"
+#: Orders of one document: with the month and the quarter they bound its size at any scale.
+ORDERS = 20_000
+STEM = f"strftime(l_shipdate, '%Y%m01') || 'T' || l_orderkey % 4 || '-' || l_orderkey // {ORDERS}"
 GOOD = "strftime(l_shipdate, '%Y') >= '1993' AND l_linenumber <> 7"
 
 
 def snapshot_files(spark, sf_dir, root: str, odd_only: bool = False, plus: int = 0, where: str = "true") -> None:
-    """One file for each month and quarter of the orders: .json.gz for even quarters and the second root, else .json.
+    """One file for each month and quarter of a block of ORDERS orders: .json.gz for even quarters and the second root, else .json.
 
     Ads of line 7 are a page that failed, the sizes of line 6 are no numbers, and months before 1993 have another version.
     """
@@ -32,7 +34,7 @@ def snapshot_files(spark, sf_dir, root: str, odd_only: bool = False, plus: int =
         F.when(F.col("l_linenumber") == 6, "n/a").otherwise((F.col("l_quantity") + plus).cast("long").cast("string")).alias("size"), F.col("l_suppkey").alias("trader"),
         F.array(F.struct(F.concat(F.lit("B"), F.col("l_suppkey") % 3).alias("identifier")), F.struct(F.lit("").alias("identifier"))).alias("banks"),
     )
-    stem = F.concat(F.date_format("l_shipdate", "yyyyMM01"), F.lit("T"), F.col("l_orderkey") % 4)
+    stem = F.concat(F.date_format("l_shipdate", "yyyyMM01"), F.lit("T"), F.col("l_orderkey") % 4, F.lit("-"), F.expr(f"l_orderkey DIV {ORDERS}"))
     side = F.when(F.col("l_linestatus") == "O", "BUY").otherwise("SELL")
     pages = lines.groupBy(stem.alias("stem"), side.alias("side"), F.col("l_linenumber").cast("long").alias("page")).agg(F.collect_list(ad).alias("data"))
     page = F.struct("page", F.when(F.col("page") == 7, "timeout").alias("error"), F.when(F.col("page") != 7, F.struct("data")).alias("response"))
@@ -41,7 +43,7 @@ def snapshot_files(spark, sf_dir, root: str, odd_only: bool = False, plus: int =
     version = F.when(F.substring("stem", 1, 4) < "1993", "v0").otherwise("v1")
     text = F.to_json(F.struct(version.alias("schema_version"), F.concat(F.col("stem"), F.lit("Z")).alias("captured_at"), "sides"))
     rows = made.select("stem", text.alias("text"), F.lit(odd_only).alias("second"))
-    rows = rows.where("right(stem, 1) IN ('1', '3')") if odd_only else rows
+    rows = rows.where("substring(stem, 10, 1) IN ('1', '3')") if odd_only else rows
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -49,7 +51,7 @@ def snapshot_files(spark, sf_dir, root: str, odd_only: bool = False, plus: int =
         store, folder = fs.FileSystem.from_uri(root)
         for frame in frames:
             for name, body, second in zip(frame["stem"], frame["text"], frame["second"], strict=True):
-                packed = second or name[-1] in "02"
+                packed = second or name[9] in "02"
                 store.create_dir(f"{folder}/{name[:4]}")
                 with store.open_output_stream(f"{folder}/{name[:4]}/{name}.json{'.gz' if packed else ''}", compression=None) as out:
                     out.write(gzip.compress(body.encode(), mtime=0) if packed else body.encode())

@@ -47,6 +47,13 @@ def read_documents(spark: SparkSession, roots: list[str]) -> DataFrame:
     return docs.select(F.col("_metadata.file_path").alias("path"), stem(F.col("_metadata.file_path")).alias("stem"), "*")
 
 
+def document_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The same as a stream of new files, whatever their stems: a late one is taken like any other."""
+    reader = spark.readStream.schema(DOCUMENT).option("recursiveFileLookup", True).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken")
+    docs = reader.option("pathGlobFilter", "*.json*").json(root)
+    return docs.select(F.col("_metadata.file_path").alias("path"), stem(F.col("_metadata.file_path")).alias("stem"), "*")
+
+
 def flatten(documents: DataFrame, versions: tuple[str, ...] = VERSIONS) -> DataFrame:
     """A row for each ad: stem, snapshot, side, page, ad_id, line, price4, size, trader, merchant, banks.
 
