@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .quantiles import exact_quantiles
+
 
 def verified(book: DataFrame) -> DataFrame:
     """Ads of verified merchants."""
@@ -125,8 +127,8 @@ def flow(book: DataFrame) -> DataFrame:
 def price_deciles(book: DataFrame, trim: bool = False) -> DataFrame:
     """side, decile, price4: exact deciles 0..10 of the price; trim leaves out the lowest and highest."""
     points = [k / 10 for k in range(1 if trim else 0, 10 if trim else 11)]
-    curve = book.groupBy("side").agg(F.percentile("price4", F.array(*[F.lit(p) for p in points])).alias("curve"))
-    return curve.select("side", F.posexplode("curve").alias("at", "price4")).select("side", (F.col("at") + int(trim)).cast("int").alias("decile"), "price4")
+    curve = exact_quantiles(book, "side", "price4", points)
+    return curve.select("side", F.round(F.col("point") * 10).cast("int").alias("decile"), F.col("value").alias("price4"))
 
 
 def columnar(vwaps: DataFrame, column: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Near-duplicate and same-event notes: pairs by token overlap, greedy groups, repeats of earlier days.
 
 Similarity is the number of shared title tokens over the larger title's number of tokens. A pair of at least `least` shares
-one of the rarest tokens of both titles (all but least * n - 1 of n), so pairs are found by a join on these tokens and no
-day is paired with itself; notes that are equal in all that the comparison sees are one row of it.
+one of the rarest tokens of both titles (all but least * n - 1 of n), so pairs are found by a join on these tokens, and where the
+similarity counts only with a shared entity or amount, on both together; notes that are equal in all that the comparison sees are one
+row of it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql.types import DoubleType
 
 from ..sources.folders import Scratch
 
+#: Notes of one token that a block of a join takes.
+HEAVY = 1000
+
 
 def overlap(a: Column, b: Column) -> Column:
     """Shared tokens over those of the larger set; 0 if either is empty."""
@@ -34,22 +38,50 @@ def same_event(a: str, b: str, title: float = 0.70, with_entity: float = 0.50, w
     return (sim >= title) | ((sim >= with_entity) & shared("entities")) | ((sim >= with_amount) & shared("amounts"))
 
 
-def rarest(notes: DataFrame, key: list[str], least: float) -> DataFrame:
-    """notes with rare: the tokens of each that a note at similarity `least` must share one of. Tokens are ranked by how many
-    notes have them, ties by themselves."""
+def ranked_tokens(notes: DataFrame, key: list[str]) -> DataFrame:
+    """notes with ranked: the structs (n, token) of each note's tokens, by the number of notes that have them, ties by themselves."""
     each = notes.select(*key, F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("__n"))
-    ranked = each.join(counts, "token").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__n", "token"))).alias("ranked"))  # one title's tokens
-    keep = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(least) - 1e-9).cast("int") + 1
-    return notes.join(ranked.select(*key, F.transform(F.slice("ranked", F.lit(1), F.greatest(keep, F.lit(1))), lambda x: x["token"]).alias("rare")), key)
+    counts = each.groupBy("token").agg(F.count("*").alias("n_notes"))
+    ranked = each.join(counts, "token").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("n_notes", "token"))).alias("ranked"))  # one title's tokens
+    return notes.join(ranked, key)
+
+
+def _keys(notes: DataFrame, least: float, shared: str | None, keep: list[str]) -> DataFrame:
+    """A row for each token that a note at similarity `least` must share one of, and each item of `shared` with it: number n, size, place,
+    token, item, and in how many blocks the token's notes are dealt."""
+    size = F.size("ranked")
+    first = F.greatest(size - F.ceil(size * F.lit(least) - 1e-9).cast("int") + 1, F.lit(1))
+    rows = notes.select("n", *keep, size.alias("size"), *([F.explode(shared).alias("item")] if shared else []), F.slice("ranked", F.lit(1), first).alias("ranked"))
+    rows = rows.select("n", *keep, "size", *(["item"] if shared else []), F.posexplode("ranked").alias("place", "r"))
+    blocks = F.ceil(F.col("r.n_notes") / HEAVY).cast("int").alias("blocks")
+    return rows.select("n", *keep, "size", "place", F.col("r.token").alias("token"), F.col("item") if shared else F.lit("").alias("item"), blocks)
+
+
+def candidates(left: DataFrame, right: DataFrame, least: float, shared: str | None, keep: list[str], where: Column) -> DataFrame:
+    """(a, b), with repeats: pairs of rows (aliased a and b, by number n) that can have similarity `least` and an item of `shared`.
+
+    They have one of the rarest tokens of both in common, and with it an item, so a token that is in every title brings nothing together
+    by itself. A pair counts at a common token only if as many tokens can follow in both as the similarity still needs. Notes of a
+    frequent token are dealt into blocks on one side and sent to each block on the other. Rows carry numbers and sizes; the pairs
+    are compared afterwards.
+    """
+    a = _keys(left, least, shared, keep).withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks"))).alias("a")
+    b = _keys(right, least, shared, keep).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("block", F.col("block").cast("long")).alias("b")
+    most = F.greatest("a.size", "b.size")
+    fits = (F.least("a.size", "b.size") >= least * most - 1e-9) & (1 + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1 >= F.ceil(least * most - 1e-9))
+    same = (F.col("a.token") == F.col("b.token")) & (F.col("a.item") == F.col("b.item")) & (F.col("a.block") == F.col("b.block"))
+    return a.join(b, same & fits & where).select(F.col("a.n").alias("a"), F.col("b.n").alias("b"))
 
 
-def candidates(left: DataFrame, right: DataFrame, least: float, where: Column) -> DataFrame:
-    """The different pairs of rows (aliased a and b, by number n) that share a rare token and fulfil `where`."""
-    a = left.select("*", F.explode("rare").alias("token")).alias("a")
-    b = right.select("*", F.explode("rare").alias("token")).alias("b")
-    sized = F.least(F.size("a.tokens"), F.size("b.tokens")) >= least * F.greatest(F.size("a.tokens"), F.size("b.tokens")) - 1e-9
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & sized & where).select(F.col("a.n").alias("a"), F.col("b.n").alias("b")).distinct()
+def same_event_pairs(notes: DataFrame, keep: list[str], where: Column, title: float, with_entity: float, with_amount: float) -> DataFrame:
+    """The different pairs (a, b) of rows that tell of one event and fulfil `where`, which speaks of the columns `keep` of both."""
+    found = None
+    for least, shared in ((title, None), (with_entity, "entities"), (with_amount, "amounts")):
+        pairs = candidates(notes, notes, least, shared, keep, where)
+        found = pairs if found is None else found.union(pairs)
+    rows = lambda side: notes.select(F.col("n").alias(side), F.struct("tokens", "entities", "amounts").alias(f"{side}_row"))
+    both = found.distinct().join(rows("a"), "a").join(rows("b"), "b")
+    return both.where(same_event("a_row", "b_row", title, with_entity, with_amount)).select("a", "b")
 
 
 def greedy_groups(notes: DataFrame, block: list[str], title: float = 0.70, with_entity: float = 0.50, with_amount: float = 0.62) -> DataFrame:
@@ -65,11 +97,11 @@ def greedy_groups(notes: DataFrame, block: list[str], title: float = 0.70, with_
     same = [*block, "tokens", "entities", "amounts"]
     rows = notes.select("id", *block, "score", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in ("tokens", "entities", "amounts")])
     alike = rows.groupBy(*same).agg(F.min(order).alias("first"))
-    firsts = scratch.save(rarest(alike.select(F.col("first.id").alias("n"), "first", *same).where(F.size("tokens") > 0), ["n"], with_entity), "firsts")
+    firsts = scratch.save(ranked_tokens(alike.select(F.col("first.id").alias("n"), "first", *same).where(F.size("tokens") > 0), ["n"]), "firsts")
     in_block = F.col("a.first") < F.col("b.first")
     for c in block:
         in_block = in_block & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    pairs = candidates(firsts, firsts, with_entity, in_block & same_event("a", "b", title, with_entity, with_amount))
+    pairs = same_event_pairs(firsts, ["first", *block], in_block, title, with_entity, with_amount)
     ranks = firsts.select(F.col("n").alias("a"), "first")
     pairs = scratch.save(pairs.join(ranks, "a"), "pairs")  # a before b
     heads = scratch.save(firsts.select("n").join(pairs.select(F.col("b").alias("n")), "n", "left_anti"), "heads")
@@ -97,9 +129,9 @@ def repeated(notes: DataFrame, days: int = 7, title: float = 0.70, with_entity:
     same = ["fecha", "tokens", "entities", "amounts"]
     rows = notes.select("id", "fecha", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in same[1:]])
     alike = rows.groupBy(*same).agg(F.min("id").alias("n"))
-    firsts = rarest(alike.where((F.size("tokens") > 0) & F.col("fecha").isNotNull()), ["n"], with_entity)
+    firsts = Scratch(notes.sparkSession, "repeated").save(ranked_tokens(alike.where((F.size("tokens") > 0) & F.col("fecha").isNotNull()), ["n"]), "firsts")
     recent = F.datediff("b.fecha", "a.fecha").between(1, days)
-    hit = candidates(firsts, firsts, with_entity, recent & same_event("a", "b", title, with_entity, with_amount)).select(F.col("b").alias("n"), F.lit(True).alias("hit")).distinct()
+    hit = same_event_pairs(firsts, ["fecha"], recent, title, with_entity, with_amount).select(F.col("b").alias("n"), F.lit(True).alias("hit")).distinct()
     numbered = rows.join(alike, [rows[c].eqNullSafe(alike[c]) for c in same]).select(rows["id"], "n")
     return numbered.join(hit, "n", "left").select("id", F.coalesce("hit", F.lit(False)).alias("repeated"))
 

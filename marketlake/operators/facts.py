@@ -63,15 +63,27 @@ def modal(rows: DataFrame, key: str, label: str) -> DataFrame:
     return counts.groupBy(key).agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias(label))
 
 
-def in_polygon(points: DataFrame, edges: DataFrame) -> DataFrame:
-    """points with the name of the first polygon (least order) that holds them, by ray casting; NULL if none does.
+def in_polygon(points: DataFrame, edges: DataFrame, across: int = 8) -> DataFrame:
+    """points (id, x, y, ...) with the name of the first polygon (least order) that holds them, by ray casting; NULL if none does.
 
-    edges (name, order, x1, y1, x2, y2) is a small table of outlines; points outside all boxes meet no edge.
+    edges (name, order, x1, y1, x2, y2) are outlines. Each polygon has a grid whose cells are a power of two wide, so that it lies in
+    some `across` columns and rows whatever its size; an edge is filed in the rows that it passes, under all columns of its polygon. A
+    point looks up its own cell in the grids of the sizes that occur, an equality join, and counts the edges to its right.
     """
-    boxes = edges.groupBy("name", "order").agg(F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x9"), F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y9"))
-    near = points.join(F.broadcast(boxes), (F.col("x") >= F.col("x0")) & (F.col("x") <= F.col("x9")) & (F.col("y") >= F.col("y0")) & (F.col("y") <= F.col("y9")))
+    low, high = lambda a, b: F.least(a, b), lambda a, b: F.greatest(a, b)
+    boxes = edges.groupBy("name", "order").agg(F.min(low("x1", "x2")).alias("x0"), F.max(high("x1", "x2")).alias("x9"), F.min(low("y1", "y2")).alias("y0"), F.max(high("y1", "y2")).alias("y9"))
+    size = F.greatest(F.col("x9") - F.col("x0"), F.col("y9") - F.col("y0"), F.lit(1e-9))
+    boxes = boxes.withColumn("level", F.ceil(F.log2(size / across)).cast("int"))
+    cell = lambda x: F.floor(F.col(x) / F.pow(F.lit(2.0), F.col("level"))).cast("long")
+    columns = F.explode(F.sequence(cell("x0"), cell("x9"))).alias("column")
+    filed = edges.join(boxes, ["name", "order"]).where("y1 <> y2").withColumns({"lo": low("y1", "y2"), "hi": high("y1", "y2")})
+    filed = filed.select("*", F.explode(F.sequence(cell("lo"), cell("hi"))).alias("row")).select("level", "row", "name", "order", "x1", "y1", "x2", "y2", "x0", "x9", columns)
+    # the sizes that occur: a few powers of two
+    levels = boxes.agg(F.collect_set("level").alias("levels"))
+    asked = points.where("x IS NOT NULL AND y IS NOT NULL").select("id", "x", "y").crossJoin(F.broadcast(levels)).select("id", "x", "y", F.explode("levels").alias("level"))
+    asked = asked.select("*", cell("x").alias("column"), cell("y").alias("row"))
     crossing = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    hits = near.select("id", "x", "y", "name", "order").join(F.broadcast(edges), ["name", "order"]).where(crossing).groupBy("id", "name", "order").agg(F.count("*").alias("n")).where("n % 2 = 1")
+    hits = asked.join(filed, ["level", "row", "column"]).where(crossing).groupBy("id", "name", "order").agg(F.count("*").alias("n")).where("n % 2 = 1")
     first = hits.groupBy("id").agg(F.min_by("name", "order").alias("name"))
     return points.join(first, "id", "left")
 

@@ -181,3 +181,14 @@ def retention(days: DataFrame, daily: int = 7, weekly: int = 4, monthly: int = 3
     older = rest.where(F.col("w") > weekly).withColumn("m", F.dense_rank().over(Window.orderBy(F.desc(F.date_trunc("month", "fecha")))))
     months = older.where(F.col("m") <= monthly).groupBy("m").agg(F.min("fecha").alias("fecha")).select("fecha", F.lit("monthly").alias("rule"))
     return first.union(weeks).union(months)
+
+
+def visitors_to_date(visits: DataFrame) -> DataFrame:
+    """fecha, visitors, month_to_date of visits (user_id, fecha): a visitor counts in the month from the first day there on, so the running
+    number is a sum over days, and a user is one row per day and month."""
+    daily = visits.distinct()
+    first = daily.groupBy("user_id", F.date_format("fecha", "yyyy-MM").alias("month")).agg(F.min("fecha").alias("fecha"))
+    new = first.groupBy("fecha").agg(F.count("*").alias("new"))
+    days = daily.groupBy("fecha").agg(F.count("user_id").alias("visitors")).join(new, "fecha", "left")
+    so_far = F.sum(F.coalesce("new", F.lit(0))).over(Window.partitionBy(F.date_format("fecha", "yyyy-MM")).orderBy("fecha"))
+    return days.select("fecha", "visitors", so_far.alias("month_to_date"))

@@ -134,6 +134,24 @@ def w15(spark, sf_dir):
     return closes.select("fecha", F.round(F.when(F.count("*").over(order) >= 3, F.stddev_samp("cents").over(order)), 4).alias("volatility"))
 
 
+HOURS = f"{TICK}, h AS (SELECT date_trunc('hour', ts) AS hora, arg_max(cents, (ts, event_id)) AS cents FROM tick GROUP BY 1)"
+
+
+@query("w15_volatility_per_hour", f"WITH {TICK} SELECT date_trunc('hour', ts) AS hora, count(*) AS n, round(stddev_samp(cents), 4) AS volatility FROM tick GROUP BY 1")
+def w15_hour(spark, sf_dir):
+    """Within each hour; an hour of one tick has none."""
+    hours = tick(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("hora")).agg(F.count("*").alias("n"), F.stddev_samp("cents").alias("v"))
+    return hours.select("hora", "n", F.when(F.col("n") > 1, F.round("v", 4)).alias("volatility"))
+
+
+@query("w15_volatility_of_snapshots", f"WITH {HOURS} SELECT hora, CASE WHEN count(*) OVER w >= 3 THEN round(stddev_samp(cents) OVER w, 4) END AS volatility FROM h WINDOW w AS (PARTITION BY CAST(hora AS DATE) ORDER BY hora ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)")
+def w15_snapshots(spark, sf_dir):
+    """Over the last six hourly snapshots of the day."""
+    hours = tick(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("hora")).agg(F.max_by("cents", F.struct("ts", "event_id")).alias("cents"))
+    order = Window.partitionBy(F.to_date("hora")).orderBy("hora").rowsBetween(-5, 0)
+    return hours.select("hora", F.when(F.count("*").over(order) >= 3, F.round(F.stddev_samp("cents").over(order), 4)).alias("volatility"))
+
+
 @query("w24_bounded_history", f"WITH {TICK} SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS k FROM tick) WHERE k <= 20")
 def w24(spark, sf_dir):
     k = F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("ts"), F.desc("event_id")))
@@ -215,6 +233,12 @@ def a30(spark, sf_dir):
     return tick(spark, sf_dir).groupBy(F.to_date(op.local("ts")).alias("fecha")).agg(F.countDistinct("user_id").alias("visitors"), F.count("*").alias("views"))
 
 
+@query("a30_visitors_to_date", f"WITH {TICK}, d AS (SELECT DISTINCT CAST({LOCAL} AS DATE) AS fecha, user_id FROM tick), days AS (SELECT fecha, count(*) AS visitors FROM d GROUP BY 1) SELECT fecha, visitors, (SELECT count(DISTINCT user_id) FROM d WHERE d.fecha <= days.fecha AND strftime(d.fecha, '%Y-%m') = strftime(days.fecha, '%Y-%m')) AS month_to_date FROM days")
+def a30_month(spark, sf_dir):
+    """Visitors of each day and different ones of its month so far."""
+    return op.visitors_to_date(tick(spark, sf_dir).select("user_id", F.to_date(op.local("ts")).alias("fecha")))
+
+
 @query("a32_market_breadth", f"""WITH {TICK}, d AS (SELECT user_id, CAST(ts AS DATE) AS fecha, arg_max(cents, (ts, event_id)) AS c FROM tick GROUP BY ALL), p AS (SELECT *, lag(c) OVER (PARTITION BY user_id ORDER BY fecha) AS b FROM d)
 SELECT fecha, count(*) FILTER (c > b) AS up, count(*) FILTER (c < b) AS down, arg_max(user_id, (c - b, user_id)) AS best, arg_min(user_id, (c - b, user_id)) AS worst FROM p WHERE b IS NOT NULL GROUP BY fecha""")
 def a32(spark, sf_dir):

@@ -109,3 +109,53 @@ def test_release_values(spark):
     df = spark.createDataFrame(texts, "t string, b string")
     found = [tuple(r.v) for r in df.select(rules.release_values(F.col("t"), F.col("b")).alias("v")).collect()]
     assert found == [("2026-06", -0.35, 4.2, 11.8), (None, None, None, None), ("2026-05", -0.5, None, None)]
+
+
+def plain_same(a, b, title=0.70, entity=0.50, amount=0.62):
+    if not a[0] or not b[0]:
+        return False
+    sim = len(a[0] & b[0]) / max(len(a[0]), len(b[0]))
+    return sim >= title or (sim >= entity and bool(a[1] & b[1])) or (sim >= amount and bool(a[2] & b[2]))
+
+
+def hot_titles(n, seed):
+    """Titles of one to five words, of which one is in all of them and a few are frequent; few entities, one of them frequent."""
+    rng = __import__("random").Random(seed)
+    words = [f"w{k}" for k in range(12)]
+    return [
+        (k, k % 9, {"hot", *rng.sample(words, rng.randint(0, 4))}, set(rng.sample(["e1", "e2", "e3", "e4"], rng.choice([0, 0, 1, 2]))), {f"m{rng.randint(0, 6)}"} if rng.random() < 0.3 else set(), rng.randint(0, 9))
+        for k in range(n)
+    ]
+
+
+def test_groups_and_repeats_with_a_token_in_every_title_equal_loops(spark, monkeypatch):
+    import datetime as dt
+
+    from marketlake.operators import events as ev
+
+    monkeypatch.setattr(ev, "HEAVY", 20)  # so that tokens are dealt into blocks
+    made = hot_titles(160, 3)
+    rows = [(k, dt.date(2024, 1, 1 + d), sorted(t), sorted(e), sorted(m), s) for k, d, t, e, m, s in made]
+    notes = spark.createDataFrame(rows, "id long, fecha date, tokens array<string>, entities array<string>, amounts array<string>, score int")
+    heads, want = {}, {}
+    for k, d, t, e, m, _ in sorted(made, key=lambda r: (-r[5], r[0])):
+        mine = heads.setdefault(d, [])
+        head = next((h for h, x in mine if plain_same(x, (t, e, m))), None)
+        if head is None:
+            mine.append((k, (t, e, m)))
+        want[k] = k if head is None else head
+    assert {r.id: r.head for r in ev.greedy_groups(notes, ["fecha"]).collect()} == want
+    again = {k: any(1 <= d - x[1] <= 7 and plain_same(x[2:5], (t, e, m)) for x in made) for k, d, t, e, m, _ in made}
+    assert {r.id: r.repeated for r in ev.repeated(notes).collect()} == again
+
+
+def test_candidates_grow_with_the_rows_not_with_a_hot_token(spark):
+    from marketlake.operators import events as ev
+
+    def found(n):
+        rows = [(k, ["hot", f"own{k}"], ["e1"] if k % 50 == 0 else [f"x{k}"], []) for k in range(n)]
+        notes = ev.ranked_tokens(spark.createDataFrame(rows, "n long, tokens array<string>, entities array<string>, amounts array<string>"), ["n"])
+        pairs = [ev.candidates(notes, notes, least, shared, [], F.col("a.n") < F.col("b.n")).count() for least, shared in ((0.7, None), (0.5, "entities"), (0.62, "amounts"))]
+        return sum(pairs)
+
+    assert found(400) <= 30 and found(800) <= 130  # pairs of the notes that share an entity besides, which are all alike
