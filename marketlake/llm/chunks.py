@@ -1,8 +1,8 @@
 """Chunks of documents: stretches of a task's texts with a dictionary of their own, kept in files of the shared folder.
 
 A dictionary's entries travel through Spark's shuffles as rows (chunk, entry); the documents' sequences of entries stay in the
-chunk's file until the answers for its entries come back, so no text or sequence is shuffled. A file counts only if a written table
-lists it: repeated attempts leave unlisted files.
+chunk's file until the answers for its entries come back, so no text or sequence is shuffled. Files are complete as soon as they can be
+seen; those of failed attempts are never read or equal the ones that are.
 """
 
 from __future__ import annotations
@@ -10,16 +10,18 @@ from __future__ import annotations
 import json
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import zstandard
 
 from .common import file_system
 
 #: A chunk is closed by the text that brings it to so many bytes.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 48 << 20
 #: Fixed: the characters that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A text's pieces: white space and what follows it. Each begins where white space follows something else, or with the text.
@@ -32,8 +34,15 @@ def write_arrays(root: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     fs.create_dir(path)
     head = json.dumps([(k, a.dtype.str, len(a)) for k, a in arrays.items()]).encode()
     planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays.values() if len(a))
-    with fs.open_output_stream(f"{path}/{name}") as f:
+    temporary = f"{path}/.{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as f:
         f.write(struct.pack("<I", len(head)) + head + zstandard.compress(planes, 3))
+    try:
+        fs.move(temporary, f"{path}/{name}")
+    except OSError:  # a store that doesn't move over what an earlier attempt made
+        if fs.get_file_info(f"{path}/{name}").type == pa.fs.FileType.NotFound:
+            raise
+        fs.delete_file(temporary)
 
 
 def read_arrays(root: str, name: str) -> dict[str, np.ndarray]:
@@ -70,7 +79,7 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
-def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def chunks_of(batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES) -> Iterator[tuple[list, list[str]]]:
     """doc_ids and texts (null: empty) of each chunk."""
     keys, texts, size = [], [], 0
     for batch in batches:
@@ -78,15 +87,15 @@ def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[st
             keys.append(key)
             texts.append(text or "")
             size += len(texts[-1])
-            if size >= CHUNK_BYTES:
+            if size >= most:
                 yield keys, texts
                 keys, texts, size = [], [], 0
     if keys:
         yield keys, texts
 
 
-def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]:
-    """The rows of each chunk, whose name is in the first column, of rows sorted by it; a chunk's dictionary is bounded by its text."""
+def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | str, pa.Table]]:
+    """The rows of each chunk, whose number or name is in the first column, of rows sorted by it; a chunk's dictionary is bounded by its text."""
     parts: list[pa.RecordBatch] = []
     name = None
     for batch in batches:
