@@ -20,6 +20,24 @@ def fields(spark: SparkSession, path: str, sep: str, columns: int, header: bool
     return rows.select(F.col("_metadata.file_path").alias("path"), *[F.trim(f"c{k}").alias(f"c{k}") for k in range(columns)])
 
 
+def export_rows(spark: SparkSession, path: str, columns: int, sep: str = "|", encoding: str = "ISO-8859-1") -> DataFrame:
+    """Lines of delimited files of which some have a header and some don't: c0, c1, ..., texts trimmed and in upper case. A line whose
+    first field is no number is a header."""
+    lines = fields(spark, path, sep, columns, encoding=encoding)
+    return lines.where(F.col("c0").try_cast("double").isNotNull()).select("path", *[F.upper(f"c{k}").alias(f"c{k}") for k in range(columns)])
+
+
+def whole(column: str) -> Column:
+    """A whole number that may be written with a decimal of zero; what is no number counts as 0."""
+    return F.coalesce(F.col(column).try_cast("double").cast("long"), F.lit(0))
+
+
+def code(column: str, width: int = 10) -> Column:
+    """A code that a spreadsheet may have made a number of: without its decimal, with its leading zeros; NULL if it has other signs."""
+    text = F.lpad(F.regexp_replace(F.trim(column), r"\.0$", ""), width, "0")
+    return F.when(text.rlike(f"^[0-9]{{{width}}}$"), text)
+
+
 def published_rates(lines: DataFrame, label: str, day: str, total: str, name: str) -> DataFrame:
     """fecha, rate of the lines of a report labelled `name`: a plausible rate in the total column, of the last such line of a day."""
     rate = plausible_rate(F.col(total))
