@@ -4,9 +4,9 @@ The ends of a text's tokens, as byte offsets, are the keys of one dictionary per
 order, cut both id lists into groups, and each group links all its tokens of one tokenizer with all of the other. How often an id
 pair is linked is counted in documents over the whole corpus.
 
-Both tokenizers keep a blank with what follows it, so a text is cut before each blank that follows something else and every distinct
-piece of a chunk is tokenized and aligned once (`Aligner`); where a vocabulary could join tokens over such a place, or a piece's bytes
-don't come back, the text is taken whole. Pairs are counted per chunk before any shuffle; each chunk has one row per pair, sent to the
+A text is cut where no token of either side can go over (JOINTS), so that a cut is a common end, and every distinct piece of a chunk is
+tokenized and aligned once (`Pieces`); where a vocabulary has a token with such a place in it, or a piece's bytes don't come back, the
+text is taken whole. Pairs are counted per chunk before any shuffle; each chunk has one row per pair, sent to the
 pair's count and back to the chunk, whose file keeps the documents (`chunks`). So no link is shuffled and a frequent pair is no hot key.
 
 Defined results: documents whose text is null or empty, or whose tokens' bytes differ from a blank and the text in either tokenizer, have no
@@ -19,26 +19,32 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import WHITE, Numbers, arrow_keys, by_chunk, chunks_of, expand, key_arrays, read_arrays, sums, write_arrays
 from .common import documents, run_dir, save, small_batches
 
-#: Pieces that begin where a blank follows something that isn't white space.
-CUT = re.compile(f"[{WHITE}]*[^{WHITE}]+(?:(?! )[{WHITE}]+[^{WHITE}]+)*(?:(?! )[{WHITE}]+\\Z)?|[{WHITE}]+")
+SPACE, OTHER = f"[{WHITE}]", f"[^{WHITE}]"
+#: Where tokens of both sides end if no vocabulary has such a place within a token: before a blank or line end that follows something
+#: else, and before a full stop or comma that follows a plain letter.
+JOINTS = re.compile(f"(?<={OTHER})(?=[ \n])|(?<=[A-Za-z])(?=[.,])")
+#: The pieces between joints, in one pass.
+CUT = re.compile(f"(?:{SPACE}+|(?=.))[.,]*(?:[^{WHITE}.,]+(?:(?<![A-Za-z])[.,]+)?|(?![ \n]){SPACE}+[.,]*)*", re.DOTALL)
 #: So many links of documents are expanded at once.
 LINKS_AT_ONCE = 2_000_000
 #: So many texts are cut and their new pieces tokenized at once.
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 256
+#: A chunk is closed by the text that brings it to so many bytes; what is known of its pieces takes several times as much.
+CHUNK_BYTES = 20 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -59,7 +65,19 @@ class Tokens:
             names = [model.id_to_piece(k) for k in range(model.get_piece_size())]
             hexed = re.compile("<0x([0-9A-F]{2})>")
             self.table = [bytes([int(m[1], 16)]) if (m := hexed.fullmatch(n)) else n.replace("▁", " ").encode() for n in names]
-            self.ids = lambda texts: model.encode([t[1:] for t in texts], num_threads=1)  # it puts the blank itself
+            lead = model.encode("a", num_threads=1)
+
+            def ids(texts: list[str]) -> list[list[int]]:
+                """The model puts a blank before each text: those that begin otherwise follow a letter, whose token is taken off again."""
+                out = model.encode([t[1:] if t[0] == " " else f"a{t}" for t in texts], num_threads=1)
+                for k, t in enumerate(texts):
+                    if t[0] != " ":
+                        if out[k][: len(lead)] != lead:
+                            raise ValueError("the model joins tokens where JOINTS cuts")
+                        out[k] = out[k][len(lead) :]
+                return out
+
+            self.ids = ids
         else:
             from tokenizers import Tokenizer
 
@@ -68,86 +86,104 @@ class Tokens:
             names = [model.id_to_token(k) for k in range(model.get_vocab_size())]
             self.table = [bytes(letters[c] for c in n) if all(c in letters for c in n) else n.encode() for n in names]
             self.ids = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-        self.lengths = [len(w) for w in self.table]
+        self.lengths = np.array([len(w) for w in self.table], np.int64)
+        self.names = list(map(str, range(len(self.table))))
+        self.hollow = bool((self.lengths == 0).any())  # a token of no bytes
         probe = " one two, three's 4.5\n six\t sev en \ufe0fx"
-        inside = any(re.search(f"[^{WHITE}] ", t.decode(errors="replace")) for t in self.table)
-        self.by_piece = not inside and self.ids([probe])[0] == [k for ids in self.ids(CUT.findall(probe)) for k in ids]
+        inside = any(JOINTS.search(t.decode(errors="replace")) for t in self.table)
+        self.by_piece = not inside and self.ids([probe])[0] == [k for ids in self.ids(pieces_of(probe)) for k in ids]
 
-    def ends(self, ids: list[int], wanted: bytes) -> list[int] | None:
-        """Where each token ends in the bytes, or None if its tokens' bytes aren't those."""
-        if b"".join([self.table[k] for k in ids]) != wanted:
-            return None
-        return list(accumulate([self.lengths[k] for k in ids]))
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join([self.table[k] for k in ids])
 
 
-def groups(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Ids of both sides between consecutive common ends. A token of no bytes goes with the group that ends there."""
+def pieces_of(text: str) -> list[str]:
+    return [p for p in CUT.findall(text) if p]
+
+
+@lru_cache(maxsize=1)
+def tokenizers_of(a_path: str, b_path: str) -> tuple[Tokens, Tokens]:
+    """Both sides' tokenizers, read once by each Python worker."""
+    return Tokens(a_path), Tokens(b_path)
+
+
+def groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int]]:
+    """(end, tokens of a up to it, tokens of b up to it) of the common ends, in order. A token of no bytes goes with the one before it."""
     last_a, last_b = {e: k for k, e in enumerate(a_ends, 1)}, {e: k for k, e in enumerate(b_ends, 1)}
-    out, i, j = [], 0, 0
-    for end in sorted(last_a.keys() & last_b.keys()):
-        out.append((a[i : last_a[end]], b[j : last_b[end]]))
-        i, j = last_a[end], last_b[end]
-    return out
-
-
-def written(found: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in found])
-
-
-def links_of(found: list[tuple[list[int], list[int]]]) -> tuple[bytes, bytes]:
-    """The linked pairs (a << 32 | b) and how often each is linked, as arrays of long."""
-    times: dict[int, int] = {}
-    for left, right in found:
-        if len(left) * len(right) > 10_000:  # one long piece
-            each = [(np.repeat(np.array(x, np.int64), len(y)) << 32) | np.tile(np.array(y, np.int64), len(x)) for x, y in found]
-            pairs, n = np.unique(np.concatenate(each), return_counts=True)
-            return pairs.tobytes(), n.astype(np.int64).tobytes()
-        for x in left:
-            x <<= 32
-            for y in right:
-                times[x | y] = times.get(x | y, 0) + 1
-    return array("q", times).tobytes(), array("q", times.values()).tobytes()
-
-
-class Aligner:
-    """Groups of pieces. What it knows serves a worker's later tasks too; of more than `most` pieces the older half goes."""
-
-    def __init__(self, a_path: str, b_path: str, most: int = 400_000):
-        self.a, self.b, self.most = Tokens(a_path), Tokens(b_path), most
-        self.cut = CUT.findall if self.a.by_piece and self.b.by_piece else lambda text: [text]
-        #: n_a, n_b, n_groups, groups, pairs, times of a piece; None if its bytes don't come back.
-        self.known: dict[str, tuple[int, int, int, str, bytes, bytes] | None] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.known]
-        for p, a, b in zip(new, self.a.ids(new), self.b.ids(new), strict=True) if new else ():
-            wanted = p.encode()
-            a_ends, b_ends = self.a.ends(a, wanted), self.b.ends(b, wanted)
-            if a_ends is None or b_ends is None:
-                self.known[p] = None
-                continue
-            found = groups(a, b, a_ends, b_ends)
-            self.known[p] = (len(a), len(b), len(found), written(found), *links_of(found))
-
-    def pieces(self, texts: list[str]) -> list[list[str]]:
-        """For each text the pieces of a blank and the text, all known until the next call; none if the text has no tokens."""
-        if len(self.known) > self.most:
-            for k in list(self.known)[: len(self.known) - self.most // 2]:
-                del self.known[k]
-        out = [self.cut(f" {t}") if t else [] for t in texts]
-        self._learn({p for row in out for p in row})
+    return [(e, last_a[e], last_b[e]) for e in sorted(last_a.keys() & last_b.keys())]
+
+
+class Pieces:
+    """The distinct pieces of a chunk by number: n_a, n_b, n_groups, the groups as text, and links (a << 32 | b)."""
+
+    def __init__(self, a: Tokens, b: Tokens):
+        self.a, self.b = a, b
+        self.cut = pieces_of if a.by_piece and b.by_piece else lambda text: [text]
+        self.number: dict[str, int] = {}  # -1 if a piece's bytes don't come back
+        self.texts: list[str] = []
+        self.shapes: list[np.ndarray] = []
+        self.links: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+
+    def rows(self, texts: list[str]) -> list[list[int]]:
+        """For each text the numbers of the pieces of a blank and the text; none if the text has no tokens."""
+        cut = [self.cut(f" {t}") if t else [] for t in texts]
+        self._learn({p: None for row in cut for p in row})
+        number = self.number
+        out = [[number[p] for p in row] for row in cut]
         # where a piece's bytes don't come back, only the whole text tells
-        broken = [k for k, row in enumerate(out) if any(self.known[p] is None for p in row)]
-        self._learn({f" {texts[k]}" for k in broken})
+        broken = [k for k, row in enumerate(out) if row and min(row) < 0]
+        self._learn({f" {texts[k]}": None for k in broken})
         for k in broken:
-            out[k] = [f" {texts[k]}"] if self.known[f" {texts[k]}"] is not None else []
+            out[k] = [n for n in (number[f" {texts[k]}"],) if n >= 0]
         return out
 
-
-@lru_cache(maxsize=1)
-def aligner_of(a_path: str, b_path: str) -> Aligner:
-    """The aligner of this Python worker."""
-    return Aligner(a_path, b_path)
+    def _learn(self, pieces: dict[str, None]) -> None:
+        new = [p for p in pieces if p not in self.number]
+        if not new:
+            return
+        a, b = self.a.ids(new), self.b.ids(new)
+        coded = [p.encode() for p in new]
+        if not (self._alike(self.a, a, coded) and self._alike(self.b, b, coded)):
+            fine = [k for k, w in enumerate(coded) if w == self.a.joined(a[k]) == self.b.joined(b[k])]
+            self.number |= dict.fromkeys(new, -1)
+            new, a, b, coded = ([x[k] for k in fine] for x in (new, a, b, coded))
+        self.number |= zip(new, range(len(self.texts), len(self.texts) + len(new)), strict=True)
+        # a token of no bytes at a piece's beginning would go with the piece before it
+        step = 1 if self.a.hollow or self.b.hollow else max(1, len(new))
+        for at in range(0, len(new), step):
+            self._align(*[list(chain.from_iterable(x[at : at + step])) for x in (a, b)], np.fromiter(map(len, coded[at : at + step]), np.int64))
+
+    @staticmethod
+    def _alike(side: Tokens, ids: list[list[int]], wanted: list[bytes]) -> bool:
+        """Whether each piece's tokens have its bytes: all together they are the same, and each has its number."""
+        flat = np.fromiter(chain.from_iterable(ids), np.int64)
+        each = sums(side.lengths[flat], np.fromiter(map(len, ids), np.int64, len(ids)))
+        return (each == np.fromiter(map(len, wanted), np.int64, len(wanted))).all() and side.joined(flat.tolist()) == b"".join(wanted)
+
+    def _align(self, a: list[int], b: list[int], sizes: np.ndarray) -> None:
+        """Align pieces of so many bytes laid one after the other: the end of each is an end in both tokenizers, so no group reaches over it."""
+        flat_a, flat_b = np.array(a, np.int64), np.array(b, np.int64)
+        found = groups(np.cumsum(self.a.lengths[flat_a]).tolist(), np.cumsum(self.b.lengths[flat_b]).tolist())
+        ends, to_a, to_b = (np.array(c, np.int64) for c in zip(*found, strict=True))
+        each = np.diff(np.searchsorted(ends, np.cumsum(sizes), "right"), prepend=0)
+        words_a, words_b = [self.a.names[k] for k in a], [self.b.names[k] for k in b]
+        i = j = 0
+        texts = []
+        for _, k, m in found:
+            texts.append(f"{','.join(words_a[i:k])}|{','.join(words_b[j:m])}")
+            i, j = k, m
+        at = 0
+        for n in each.tolist():
+            self.texts.append(";".join(texts[at : at + n]))
+            at += n
+        n_a, n_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        self.shapes.append(np.stack([sums(n_a, each), sums(n_b, each), each], axis=1))
+        self.sizes.append(sums(n_a * n_b, each))
+        # each token of a meets all of b's in its group
+        many = np.repeat(n_b, n_a)
+        met = flat_b[expand(np.repeat(to_b - n_b, n_a), many)]
+        self.links.append(np.repeat(flat_a << 32, many) | met)
 
 
 SHAPE = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -157,23 +193,19 @@ def _pairs(docs: DataFrame, a_path: str, b_path: str, root: str) -> DataFrame:
     """chunk, entry, pair, n_docs: the distinct pairs of each chunk and in how many of its documents they are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = aligner_of(a_path, b_path)
-        for keys, texts in chunks_of(batches):
-            name, kinds, shapes, sha, rows = uuid.uuid4().hex, Numbers(), [], [], []
+        a, b = tokenizers_of(a_path, b_path)
+        task = TaskContext.get()
+        for k, (keys, texts) in enumerate(chunks_of(batches, CHUNK_BYTES)):
+            chunk, name = (task.partitionId() << 16) + k, f"{task.partitionId()}-{k}-{task.taskAttemptId()}"
+            pieces, sha, rows = Pieces(a, b), [], []
             for at in range(0, len(texts), TEXTS_AT_ONCE):
-                for pieces in aligner.pieces(texts[at : at + TEXTS_AT_ONCE]):
-                    row = [kinds[p] for p in pieces]
-                    if len(kinds) > len(shapes):
-                        for p, k in zip(pieces, row, strict=True):
-                            if k == len(shapes):
-                                shapes.append(aligner.known[p])
-                    sha.append(hashlib.sha256(";".join([shapes[k][3] for k in row]).encode()).hexdigest() if row else "")
+                for row in pieces.rows(texts[at : at + TEXTS_AT_ONCE]):
+                    sha.append(hashlib.sha256(";".join([pieces.texts[k] for k in row]).encode()).hexdigest() if row else "")
                     rows.append(np.array(row, np.int32))
-            n = np.array([s[:3] for s in shapes], np.int64).reshape(-1, 3)
-            sizes = np.array([len(s[4]) // 8 for s in shapes], np.int64)
-            coded = np.frombuffer(b"".join([s[4] for s in shapes]), np.int64)
-            times = np.frombuffer(b"".join([s[5] for s in shapes]), np.int64)
-            shapes.clear()
+            n = np.concatenate([*pieces.shapes, np.zeros((0, 3), np.int64)])
+            sizes = np.concatenate([*pieces.sizes, np.zeros(0, np.int64)])
+            coded = np.concatenate([*pieces.links, np.zeros(0, np.int64)])
+            del pieces, texts
             pairs, entries = np.unique(coded, return_inverse=True)
             starts, lengths = np.cumsum(sizes) - sizes, np.array([len(r) for r in rows], np.int64)
             sequence = np.concatenate(rows)
@@ -190,15 +222,15 @@ def _pairs(docs: DataFrame, a_path: str, b_path: str, root: str) -> DataFrame:
                 at = stop
             totals = {c: sums(n[sequence, k], lengths) for k, c in enumerate(("n_a", "n_b", "n_groups"))}
             digests = np.frombuffer("".join(s.ljust(64) for s in sha).encode(), np.uint8)
-            write_arrays(root, name, key_arrays(keys) | totals | {"lengths": lengths, "sequence": sequence, "sizes": sizes.astype(np.int32), "entries": entries.astype(np.int32), "times": times.astype(np.int32), "sha": digests, "pairs": np.array([len(pairs)])})
-            if not len(pairs):  # a chunk without tokens
-                yield pa.RecordBatch.from_pydict({"chunk": [name], "entry": pa.array([None], pa.int32()), "pair": pa.array([None], pa.int64()), "n_docs": pa.array([0], pa.int64())})
+            write_arrays(root, name, key_arrays(keys) | totals | {"lengths": lengths, "sequence": sequence, "sizes": sizes.astype(np.int32), "entries": entries.astype(np.int32), "sha": digests, "pairs": np.array([len(pairs)])})
+            # the entry without a number has the attempt that wrote the chunk's file
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "entry": pa.array([None], pa.int32()), "pair": pa.array([None], pa.int64()), "n_docs": pa.array([task.taskAttemptId()], pa.int64())})
             for at in range(0, len(pairs), 100_000):
                 stop = min(at + 100_000, len(pairs))
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array([name] * (stop - at)), "entry": pa.array(np.arange(at, stop), pa.int32()), "pair": pa.array(pairs[at:stop]), "n_docs": pa.array(n_docs[at:stop])})
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(stop - at, chunk, np.int64)), "entry": pa.array(np.arange(at, stop), pa.int32()), "pair": pa.array(pairs[at:stop]), "n_docs": pa.array(n_docs[at:stop])})
 
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "chunk string, entry int, pair long, n_docs long")
+    return docs.select("doc_id", "text").mapInArrow(run, "chunk long, entry int, pair long, n_docs long")
 
 
 def link_counts(entries: DataFrame) -> DataFrame:
@@ -215,20 +247,22 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     spark = docs.sparkSession
     n, root = int(spark.conf.get("spark.sql.shuffle.partitions")), run_dir(spark, "aligned")
     entries = save(_pairs(docs, a_path, b_path, root), "aligned-pairs")
-    answers = entries.join(link_counts(entries), "pair", "left").select("chunk", "entry", "count", "best")
+    files = entries.where("pair IS NULL").select("chunk", "entry", F.col("n_docs").alias("count"), F.lit(False).alias("best"))
+    answers = entries.join(link_counts(entries), "pair").select("chunk", "entry", "count", "best").union(files)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows in by_chunk(batches):
-            chunk = read_arrays(root, name)
+        for number, rows in by_chunk(batches):
+            attempt = rows.filter(pc.is_null(rows.column("entry"))).column("count").to_pylist()
+            name = f"{number >> 16}-{number & 0xFFFF}-{attempt[0]}"
+            chunk, rows = read_arrays(root, name), rows.filter(pc.is_valid(rows.column("entry")))
             n_pairs = int(chunk["pairs"][0])
-            if rows.num_rows != max(1, n_pairs):
+            if rows.num_rows != n_pairs or len(attempt) != 1:
                 raise ValueError(f"chunk {name} has {rows.num_rows} answers for {n_pairs} pairs")
             count, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
-            if n_pairs:
-                entry = rows.column(1).to_numpy()
-                count[entry], best[entry] = rows.column(2).to_numpy(), rows.column(3).to_numpy()
-            lengths, sequence, sizes, places, times = (chunk[k] for k in ("lengths", "sequence", "sizes", "entries", "times"))
-            per_piece = {"n_links": times, "n_best": times * best[places], "count_sum": times * count[places]}
+            entry = rows.column("entry").to_numpy()
+            count[entry], best[entry] = rows.column("count").to_numpy(), rows.column("best").to_numpy()
+            lengths, sequence, sizes, places = (chunk[k] for k in ("lengths", "sequence", "sizes", "entries"))
+            per_piece = {"n_links": np.ones(len(places), np.int64), "n_best": best[places], "count_sum": count[places]}
             totals = {c: sums(sums(v, sizes)[sequence], lengths) for c, v in per_piece.items()}
             sha = chunk["sha"].tobytes().decode()
             digests = [sha[k : k + 64].strip() for k in range(0, len(sha), 64)]
@@ -242,10 +276,11 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """doc_id, position, a_ids, b_ids: the groups of every document, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = aligner_of(a_path, b_path)
+        a, b = tokenizers_of(a_path, b_path)
         for batch in batches:
-            for key, pieces in zip(batch.column(0).to_pylist(), aligner.pieces([t or "" for t in batch.column(1).to_pylist()]), strict=True):
-                found = [[[int(k) for k in side.split(",")] for side in g.split("|")] for p in pieces for g in aligner.known[p][3].split(";")]
+            pieces = Pieces(a, b)
+            for key, row in zip(batch.column(0).to_pylist(), pieces.rows([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                found = [[[int(k) for k in side.split(",")] for side in g.split("|")] for n in row for g in pieces.texts[n].split(";")]
                 columns = [pa.array([key] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), *[pa.array([g[k] for g in found], pa.list_(pa.int32())) for k in (0, 1)]]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "position", "a_ids", "b_ids"])
 
