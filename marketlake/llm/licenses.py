@@ -74,6 +74,20 @@ SENTENCES = {
     "cc0-waive": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "reserved": "All rights reserved.",
 }
+#: The lines that licence texts begin with.
+TITLES = {
+    "Apache-2.0": ["Apache License", "Version 2.0, January 2004"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE", "Version 2, June 1991"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE", "Version 2.1, February 1999"],
+    "AGPL-3.0": ["GNU AFFERO GENERAL PUBLIC LICENSE", "Version 3, 19 November 2007"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "EPL-2.0": ["Eclipse Public License - v 2.0"],
+    "MIT": ["MIT License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+}
 SPLIT, STOP = r"([.!?])[ \t\r\f]+", r"\n"
 WRAPPED, COLON = r"(?<=[.!?])[ \t\r\f]+|(?<=[.!?])\n|\n[ \t\r\f]*\n", r"(?<=:)[ \t\r\f]*\n"
 OTHER = "[^a-z0-9]+"
@@ -85,7 +99,15 @@ def normalised(sentence: str) -> str:
     return re.sub(VERB, "licensed under ", re.sub(OTHER, " ", sentence.lower()).strip())
 
 
-KNOWN = list(dict.fromkeys([normalised(f"licensed under {n}") for names in NAMES.values() for n in names] + [normalised(p) for s in SENTENCES.values() for p in re.sub(SPLIT, r"\1\n", s).split("\n")]))
+TAG = "SPDX-License-Identifier: "
+KNOWN = list(
+    dict.fromkeys(
+        [normalised(f"licensed under {n}") for names in NAMES.values() for n in names]
+        + [normalised(p) for s in SENTENCES.values() for p in re.sub(SPLIT, r"\1\n", s).split("\n")]
+        + [normalised(TAG + n) for name in NAMES for n in (name, f"{name}-only", f"{name}-or-later")]
+        + [normalised(line) for lines in TITLES.values() for line in lines]
+    )
+)
 
 
 def _numbers(sentence: str) -> list[int]:
@@ -113,6 +135,8 @@ def rules() -> list[tuple[str, list[int]]]:
         ("CC0-1.0", number["cc0-waive"]),
     ]
     out += [("Apache-2.0", first + number["apache-compliance"]) for first in short["Apache-2.0"]]
+    out += [(name, [KNOWN.index(normalised(TAG + n)) + 1]) for name in NAMES for n in (name, f"{name}-only", f"{name}-or-later")]
+    out += [(name, [KNOWN.index(normalised(line)) + 1 for line in lines]) for name, lines in sorted(TITLES.items(), key=lambda t: -len(t[1]))]
     return out + [(k, seq) for k, seqs in short.items() for seq in seqs] + [("Apache-2.0", number["apache-compliance"] + number["apache-copy"]), ("proprietary", number["reserved"])]
 
 
@@ -132,6 +156,11 @@ def sentence_numbers(text: Column) -> Column:
     return F.filter(found, lambda n: n > 0)
 
 
+def licensed(names: Column) -> Column:
+    """names; rights are reserved in the copyright lines of free licences too, so "proprietary" stands only alone."""
+    return F.when(F.size(names) > 1, F.array_remove(names, "proprietary")).otherwise(names)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_known, sentence_ids and licences (both comma-joined, in order) of every row."""
     found = docs.select("doc_id", F.coalesce(sentence_numbers(F.col("text")), F.array().cast("array<bigint>")).alias("ids"))
@@ -144,7 +173,7 @@ def scan(docs: DataFrame) -> DataFrame:
         then = F.struct(F.replace(acc["rest"], rule["seq"], F.lit(" | ")).alias("rest"), F.array_append(acc["names"], rule["name"]).alias("names"))
         return F.when(hit, then).otherwise(acc)
 
-    ordered = F.when(F.size("ids") > 0, F.aggregate(table, start, step, lambda acc: F.array_join(F.array_distinct(acc["names"]), ","))).otherwise(F.lit(""))
+    ordered = F.when(F.size("ids") > 0, F.aggregate(table, start, step, lambda acc: F.array_join(licensed(F.array_distinct(acc["names"])), ","))).otherwise(F.lit(""))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_known"), F.array_join(F.transform("ids", lambda n: n.cast("string")), ",").alias("sentence_ids"), ordered.alias("licences"))
 
 
@@ -154,14 +183,16 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in DuckDB SQL: one common table expression for each rule."""
+    """The same in DuckDB SQL: sentences are cut by marks put where they end, and there is one common table expression for each rule."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = "[" + ", ".join(map(quote, KNOWN)) + "]"
-    clean = f"regexp_replace(trim(regexp_replace(s, {quote(OTHER)}, ' ', 'g')), {quote(VERB)}, 'licensed under ')"
-    cut = f"string_split(regexp_replace(lower(coalesce(text, '')), {quote(SPLIT)}, '\\1' || chr(10), 'g'), chr(10))"
-    sql = [f"WITH found AS (SELECT doc_id, list_filter(list_transform({cut}, lambda s: list_position({known}, {clean})), lambda n: n > 0) AS ids FROM documents)"]
+    number = lambda s: f"coalesce(list_position({known}, regexp_replace(trim(regexp_replace({s}, {quote(OTHER)}, ' ', 'g')), {quote(VERB)}, 'licensed under ')), 0)"
+    lines = f"list_transform(string_split(p, chr(10)), lambda q: {number('q')})"
+    parts = f"flatten(list_transform(string_split(regexp_replace(s, ':[ \t\r\f]*\n', ':' || chr(2), 'g'), chr(2)), lambda p: CASE WHEN {number('p')} > 0 THEN [{number('p')}] ELSE {lines} END))"
+    cut = "string_split(regexp_replace(lower(coalesce(text, '')), '([.!?])([ \t\r\f]+|\n)|\n[ \t\r\f]*\n', '\1' || chr(1), 'g'), chr(1))"
+    sql = [f"WITH found AS (SELECT doc_id, list_filter(flatten(list_transform({cut}, lambda s: CASE WHEN {number('s')} > 0 THEN [{number('s')}] ELSE {parts} END)), lambda n: n > 0) AS ids FROM documents)"]
     sql.append("r0 AS (SELECT doc_id, ids, ' ' || array_to_string(ids, ' ') || ' ' AS rest, [] :: VARCHAR[] AS names FROM found)")
     for k, (name, seq) in enumerate(rules()):
         text = quote(" ".join(["", *map(str, seq), ""]))
         sql.append(f"r{k + 1} AS (SELECT doc_id, ids, replace(rest, {text}, ' | ') AS rest, CASE WHEN contains(rest, {text}) AND NOT list_contains(names, {quote(name)}) THEN list_append(names, {quote(name)}) ELSE names END AS names FROM r{k})")
-    return ",\n".join(sql) + f"\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(names, ','), '') AS licences FROM r{len(rules())}"
+    return ",\n".join(sql) + f"\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(CASE WHEN len(names) > 1 THEN list_filter(names, lambda n: n <> 'proprietary') ELSE names END, ','), '') AS licences FROM r{len(rules())}"

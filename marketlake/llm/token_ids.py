@@ -39,6 +39,9 @@ CHUNK = re.compile(r"[^ \t\r\n]+")
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 #: Fixed pattern: the tokenizer's own pre-tokens, over the characters of PLAIN in lower case.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+#: The tokenizer file's settings for which the cuts above hold. With any others whole texts are asked of the library.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
 
 
 class EliasFano:
@@ -147,10 +150,20 @@ class TokenFile:
         return [None] * self.nulls + [self.base + int(k) for k in self.keys.values()]
 
 
+def cuts_hold(settings: dict) -> bool:
+    """Whether a tokenizer cuts as CHUNK and PIECE do: it lower-cases, drops white space, splits by the known pattern, ends words by a
+    mark of their own and has no added tokens but those whose strings begin with <|."""
+    first = ((settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    splits = first.get("type") == "Split" and first.get("pattern") == SPLIT and first.get("behavior") == "Removed" and first.get("invert") is True
+    added = all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in settings.get("added_tokens") or [])
+    return splits and added and settings.get("normalizer") == NORMALIZER and bool(settings["model"].get("end_of_word_suffix"))
+
+
 class ChunkEncoder:
-    """Token ids of texts, each different piece asked of the library once and kept.
+    """Token ids of texts, each different piece asked of the library once and kept; a tokenizer for which the cuts don't hold (cuts_hold) is
+    asked for whole texts.
 
-    The tokenizer joins nothing across white space, so a text is the sequence of its chunks. In chunks of ASCII and Latin-1
+    The dealt tokenizer joins nothing across white space, so a text is the sequence of its chunks. In chunks of ASCII and Latin-1
     letters its own pre-tokens are cut here too, by the same pattern (PIECE), as they repeat far more often than chunks;
     any other chunk, or one that may hold a special token's string, goes to the library whole. At most `most` pieces are
     kept: the older half goes when they are more.
@@ -162,6 +175,7 @@ class ChunkEncoder:
         self.tokenizer, self.kind, self.most = Tokenizer.from_file(tokenizer_path), "<u2" if width == 2 else "<u4", most
         self.known: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.by_chunk = cuts_hold(json.loads(self.tokenizer.to_str()))
 
     def _room(self, known: dict[str, bytes]) -> None:
         if len(known) > self.most:
@@ -194,6 +208,8 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_chunk:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
         if PLAIN.fullmatch(text) and "<|" not in text:
             return self._plain(text)
         out = []

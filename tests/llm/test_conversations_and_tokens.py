@@ -7,13 +7,14 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from marketlake.llm import alignment, byte_bpe, chunks, conversations
+from marketlake.llm import alignment, byte_bpe, chunks, conversations, licenses, token_ids
 from marketlake.llm.queries import QUERIES
 
 RANKS, A_PATH, B_PATH = (public_tokenizers.path(n) for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -156,7 +157,7 @@ def test_byte_bpe_equals_the_library(spark, docs, tmp_path):
         ids = library.encode_ordinary(text or "")
         assert found[k] == (len(ids), sha(" ".join(map(str, ids))), sha(text or ""))
     # words that meet from many chunks
-    many = byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(docs.repartition(7), RANKS, public_tokenizers.PATTERN), RANKS)).collect()
+    many = byte_bpe.decoded(byte_bpe.encoded(docs.repartition(7), RANKS, public_tokenizers.PATTERN), RANKS).mapInArrow(byte_bpe.digests, byte_bpe.DIGESTS).collect()
     assert {r[0] or 0: tuple(r)[1:] for r in many} == found
 
 
@@ -167,8 +168,6 @@ def test_byte_bpe_of_no_rows_and_of_given_ids(spark, docs):
 
 
 def test_chunk_files_give_back_their_arrays(tmp_path):
-    import numpy as np
-
     arrays = {"a": np.arange(1000, dtype=np.int32), "b": np.zeros(0, np.int64), "c": np.array([7, -1, 1 << 60])}
     chunks.write_arrays(f"file://{tmp_path}/x", "f", arrays)
     back = chunks.read_arrays(f"file://{tmp_path}/x", "f")
@@ -240,16 +239,92 @@ def test_alignment_equals_plain_groups(spark, docs, tmp_path):
     assert any(w[0] == 0 for w in wanted[1200:1400]) and sum(w[0] > 0 for w in wanted) > 900
 
 
-def test_alignment_of_whole_texts_and_few_pieces(spark, docs):
-    """A vocabulary that can't be cut at blanks is asked for whole texts; a small memory of pieces changes nothing."""
+def test_alignment_of_whole_texts():
+    """A vocabulary that can't be cut at blanks is asked for whole texts; one with tokens of no bytes piece by piece."""
     texts = [t or "" for t in TEXTS[:300]]
-    by_piece, whole = (alignment.Aligner(A_PATH, B_PATH, most=50) for _ in range(2))
+    sides = alignment.Tokens(A_PATH), alignment.Tokens(B_PATH)
+    assert sides[0].by_piece and sides[1].by_piece
+    by_piece, whole, single = (alignment.Pieces(*sides) for _ in range(3))
     whole.cut = lambda text: [text]
-    said = [[";".join(al.known[p][3] for p in row) for k in range(0, 300, 64) for row in al.pieces(texts[k : k + 64])] for al in (by_piece, whole)]
-    assert said[0] == said[1]
+    said = []
+    for pieces in (by_piece, whole, single):
+        sides[0].hollow = pieces is single
+        said.append([";".join(pieces.texts[n] for n in row) for row in pieces.rows(texts)])
+    assert said[0] == said[1] == said[2]
 
 
 def test_groups_by_name_and_empty_table(spark, docs):
     assert alignment.aligned(docs.limit(0), A_PATH, B_PATH).count() == 0
     rows = alignment.token_groups(docs.where("text = 'same text.' OR text = ''"), A_PATH, B_PATH).orderBy("doc_id", "position").collect()
     assert [(r.position, r.a_ids, r.b_ids) for r in rows] == [(0, [976], [1348]), (1, [2420], [2245]), (2, [13], [28723])] * 2
+
+
+def test_token_ids_of_any_tokenizer_are_the_librarys(tmp_path):
+    """The dealt one, one with other cuts, and the dealt one without its lower case, or with a mark that may stand in words."""
+    import json
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        dealt = json.load(f)
+    cased = {**dealt, "normalizer": {"type": "NFC"}}
+    marked = {**dealt, "added_tokens": [*dealt["added_tokens"], {"id": 49408, "content": "so", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}]}
+    paths = [public_tokenizers.path("word_bpe_49k.json"), A_PATH]
+    for name, settings in (("cased", cased), ("marked", marked)):
+        paths.append(str(tmp_path / f"{name}.json"))
+        (tmp_path / f"{name}.json").write_text(json.dumps(settings))
+    texts = [t for t in TEXTS if t] + ["Some Words, some MORE words; and so on.", "don't STOP\n\nhere 12.5"]
+    for path in paths:
+        encoder, library = token_ids.ChunkEncoder(path, 4), Tokenizer.from_file(path)
+        assert encoder.by_chunk == (path == paths[0])
+        for text in texts:
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def wrapped(text, width=60):
+    import textwrap
+
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_licences_of_whole_files_and_the_same_in_sql(spark):
+    import duckdb
+
+    known = licenses.SENTENCES
+    bsd = "BSD 3-Clause License\n\nCopyright (c) 2024, A. Holder\nAll rights reserved.\n\n" + "\n\n".join(wrapped(known[k]) for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"))
+    texts = {
+        bsd: "BSD-3-Clause",
+        bsd.replace(wrapped(known["bsd-names"]), ""): "BSD-2-Clause,BSD-3-Clause",
+        "MIT License\n\nCopyright (c) 2024\n\n" + wrapped(known["mit-grant"]) + "\n\n" + wrapped(known["mit-notice"]): "MIT",
+        "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS": "Apache-2.0",
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007": "GPL-3.0",
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n": "GPL-2.0",
+        "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n": "LGPL-3.0",
+        "Mozilla Public License Version 2.0\n==================================\n": "MPL-2.0",
+        "# SPDX-License-Identifier: MIT\nimport os": "MIT",
+        "// SPDX-License-Identifier: GPL-2.0-or-later\n": "GPL-2.0",
+        wrapped(known["gpl2-free"]): "GPL-2.0-or-later",
+        wrapped(known["mpl-subject"], 40): "MPL-2.0",
+        "Copyright 2024 A. Holder.\nAll rights reserved.": "proprietary",
+        "Licensed under the MIT License. " * 3000: "MIT",
+        "No licence here.": "",
+        "": "",
+    }
+    rows = [(k, t, 1) for k, t in enumerate([*texts, None, "All rights reserved."])]
+    docs = spark.createDataFrame([*rows, *rows[:2]], "doc_id long, text string, ids int")
+    found = licenses.scan(docs)
+    assert [{r.doc_id: r.licences for r in found.collect()}[k] for k in range(len(texts))] == list(texts.values())
+    documents = docs.toPandas()  # noqa: F841  DuckDB reads it
+    said = duckdb.sql(licenses.oracle())
+    order = [said.columns.index(c) for c in found.columns]
+    assert sorted(tuple(r[k] for k in order) for r in said.fetchall()) == sorted(tuple(r) for r in found.collect())
+
+
+def test_op9_rows_are_the_librarys(spark, tmp_path):
+    rows = [(k, t, "x") for k, t in enumerate(TEXTS)]
+    spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    library, want, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), [], 0
+    for k, text in enumerate(TEXTS):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        want.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in QUERIES["op9_token_ids"](spark, str(tmp_path)).collect()) == want
+

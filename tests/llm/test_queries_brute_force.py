@@ -339,7 +339,7 @@ def plain_classes(spark, texts):
     return [root(k) for k in range(len(texts))]
 
 
-def plain_leaks(text, items):
+def plain_leaks(text, items, only=None):
     """Whether a window of an item's length has a weighted similarity of 0.8 and more with it; shingles weigh by how few items have them."""
     words = lambda t: re.findall(r"\w+", (t or "").lower())
     grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else Counter()
@@ -347,7 +347,7 @@ def plain_leaks(text, items):
     df = Counter(g for w in each for g in grams(w))
     weigh = lambda g: 1 + np.log((1 + len(each)) / (1 + df[g]))
     own = words(text)
-    for item in each:
+    for item in each if only is None else [words(only)]:
         want = grams(item)
         if len(own) < min(len(item), 5) or len(item) < 5 and len(own) != len(item):
             continue
@@ -425,3 +425,51 @@ def test_shared_folder_is_never_a_machines_own_on_a_cluster(spark):
         common.shared_dir(Session(spark_master="spark://a:1"))
     mine = common.shared_dir(Session(spark_master="local[2]", spark_app_id="none"))
     assert mine == common.shared_dir(Session(spark_master="local[2]", spark_app_id="none")) and mine.startswith("file:///tmp/spark-")
+
+
+def test_op7_leaks_equal_plain_windows(spark, tmp_path):
+    """Every document and item through the query; each item laid at every place of every text."""
+    from marketlake.llm.decontam import op7_decontamination
+
+    rng = random.Random(21)
+    items = [prose(n, 900 + k) for k, n in enumerate((12, 30, 45, 3, 60))] + [None, ""]
+    items.append(items[1])  # an item that repeats
+    texts = [prose(120, 800 + k) for k in range(15)] + [None, "", items[3]]
+    for k in (0, 1, 2, 4):
+        for changes in (0, 1, 2, 4):
+            w = items[k].split()
+            for at in rng.sample(range(len(w)), min(changes, len(w))):
+                w[at] = f"new{at}"
+            texts.append(f"{prose(rng.randint(0, 60), 700 + 10 * k + changes)} {' '.join(w)} {prose(rng.randint(0, 60), 600 + 10 * k + changes)}")
+    texts += texts[-3:]
+    rows = [(k, t) for k, t in enumerate(items)]
+    path = tables(spark, tmp_path, texts, benchmark=(rows, "item_id long, text string"))
+    found = {(r.doc_id, r.item_id) for r in op7_decontamination(spark, path).collect()}
+    listed = [t for t in items if t]
+    want = set()
+    for k, text in enumerate(texts, 1):
+        for item, content in rows:
+            if content and plain_leaks(text, listed, only=content):
+                want.add((k, item))
+    assert found == want and len(want) >= 10
+
+
+def test_op1_classes_equal_all_pairs(spark, tmp_path):
+    """Class, size and representative of every row through the query."""
+    from marketlake.llm.minhash import op1_minhash
+
+    rng = random.Random(22)
+    texts = [prose(rng.randint(60, 140), 500 + k) for k in range(12)]
+    for k in range(8):
+        copy = texts[k]
+        for _ in range(3):
+            copy = one_edit(copy, rng)
+            texts.append(copy)
+    texts += [texts[0], texts[12], None, None, "", "two words", "two words"]
+    path = tables(spark, tmp_path, texts)
+    found = {r.doc_id: (r.class_id, r.class_size) for r in op1_minhash(spark, path).collect()}
+    labels = plain_classes(spark, texts)
+    members = {}
+    for k, label in enumerate(labels, 1):
+        members.setdefault(label, []).append(k)
+    assert found == {k: (min(members[label]), len(members[label])) for k, label in enumerate(labels, 1)}
