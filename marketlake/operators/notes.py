@@ -79,29 +79,45 @@ def rotated_pictures(notes: DataFrame, sets: dict[str, int], cooldown_days: int
     """id, picture (slug-k) of notes (id, slug, fecha, hora): each note takes the picture of its slug's set that was used longest
     ago, among those not used for `cooldown_days`, or of all if none is.
 
-    The choice depends on all before it, so a slug's notes are gone through in order in one group; only ids and dates are
-    in it. Slugs without a set and notes without a slug have no picture.
+    A day's choices follow from its number of notes and what the day before leaves: first the free pictures, longest unused first, then
+    all of them in turn, those that weren't free before the others. So days are counted, a slug's few days gone through in order (day_plans), and each note
+    takes its picture by its place in the day; no group is larger than a slug's day. Notes without a day come first and find all
+    pictures free. Slugs without a set and notes without a slug have no picture.
     """
     import pandas as pd
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["fecha", "hora", "id"], na_position="first", kind="stable")
-        n = sets[group["slug"].iloc[0]]
-        used, turn, out = [None] * n, [-1] * n, []
-        for seq, day in enumerate(group["fecha"]):
-            free = [k for k in range(n) if day is None or used[k] is None or (day - used[k]).days >= cooldown_days] or range(n)
-            k = min(free, key=lambda k: (turn[k], k))
-            out.append(k + 1)
-            turn[k] = seq
-            if day is not None:
-                used[k] = day
-        return pd.DataFrame({"id": group["id"], "picture": [f"{group['slug'].iloc[0]}-{k}" for k in out]})
+    def plan(days: pd.DataFrame) -> pd.DataFrame:
+        slug = days["slug"].iloc[0]
+        rows = days.sort_values("fecha", na_position="first", kind="stable")
+        plans = day_plans(sets[slug], [(None if pd.isna(d) else d, int(n)) for d, n in zip(rows["fecha"], rows["n"], strict=True)], cooldown_days)
+        return pd.DataFrame({"slug": slug, "fecha": rows["fecha"].to_numpy(), "free": [p[0] for p in plans], "turns": [p[1] for p in plans]})
 
     good = F.coalesce(F.col("slug").isin(*[s for s, n in sets.items() if n > 0]), F.lit(False)) if sets else F.lit(False)
-    chosen = notes.where(good).select("id", "slug", "fecha", "hora").groupBy("slug").applyInPandas(choose, "id long, picture string")
+    rows = notes.where(good).select("id", "slug", "fecha", "hora")
+    plans = rows.groupBy("slug", "fecha").agg(F.count("*").alias("n")).groupBy("slug").applyInPandas(plan, "slug string, fecha date, free array<int>, turns array<int>")  # a row per day
+    order = Window.partitionBy("slug", "fecha").orderBy(F.asc_nulls_first("hora"), F.asc_nulls_first("id"))
+    placed = rows.withColumn("place", F.row_number().over(order) - 1)
+    both = placed.join(plans.withColumnsRenamed({"slug": "s", "fecha": "d"}), (F.col("slug") == F.col("s")) & F.col("fecha").eqNullSafe(F.col("d")))
+    number = F.coalesce(F.get("free", F.col("place")), F.get("turns", F.pmod(F.col("place") - F.size("free"), F.size("turns"))))
+    chosen = both.select("id", F.concat_ws("-", "slug", number.cast("string")).alias("picture"))
     return chosen.unionByName(notes.where(~good).select("id", F.lit(None).cast("string").alias("picture")))
 
 
+def day_plans(n: int, days: list[tuple[object, int]], cooldown_days: int) -> list[tuple[list[int], list[int]]]:
+    """For each (day, number of notes) in order: the pictures (1 to n) of its first notes, and those that the others take in turn."""
+    waiting, used, out = list(range(1, n + 1)), {}, []  # waiting: longest unused first
+    for day, notes in days:
+        free = [k for k in waiting if day is None or k not in used or (day - used[k]).days >= cooldown_days]
+        turns = [k for k in waiting if k not in set(free)] + free
+        out.append((free, turns))
+        more = notes - len(free)
+        taken = free[:notes] if more <= 0 else free + turns[:more]
+        waiting = [k for k in waiting if k not in set(taken)] + taken if more <= 0 else turns[more % n :] + turns[: more % n]
+        if day is not None:
+            used |= dict.fromkeys(taken, day)
+    return out
+
+
 def portal_order(notes: DataFrame, portals: list[str]) -> DataFrame:
     """notes in the order in which duplicates are looked for: by the portal's place in a list, others last, then score, then id."""
     place = F.nullif(F.array_position(F.array(*[F.lit(p) for p in portals]), F.col("portal")), F.lit(0))

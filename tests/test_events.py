@@ -89,6 +89,24 @@ def test_rotation_equals_the_loop(spark):
     assert found == want
 
 
+def test_day_plans_equal_the_loop_on_busy_days():
+    for seed in range(300):
+        rng = random.Random(seed)
+        n, days = rng.randint(1, 6), sorted({rng.randint(1, 12) for _ in range(6)})
+        counts = [(None, rng.randint(0, 9))] * (seed % 2) + [(datetime.date(2024, 1, d), rng.randint(1, 15)) for d in days]
+        used, turn, seq, want = {}, {}, 0, []
+        for day, many in counts:
+            for _ in range(many):
+                free = [p for p in range(1, n + 1) if day is None or p not in used or (day - used[p]).days >= 3] or range(1, n + 1)
+                p = min(free, key=lambda p: (turn.get(p, -1), p))
+                want.append(p)
+                turn[p], seq = seq, seq + 1
+                if day is not None:
+                    used[p] = day
+        found = [free[k] if k < len(free) else turns[(k - len(free)) % n] for (_, many), (free, turns) in zip(counts, notes.day_plans(n, counts, 3), strict=True) for k in range(many)]
+        assert found == want
+
+
 def test_enriched_filings(spark):
     ladder = [rules.Step("coupons", text=("coupon",)), rules.Step("board", text=("director",)), rules.Step("staff", tags=("person",)), rules.Step("covenants", tags=("covenant",)), rules.Step("meetings", tags=("meeting",))]
     fields = {"coupons": {"n": "coupon +([0-9]+)", "bond": "of ([A-Z]+)"}, "board": {"who": "director ([A-Z][a-z]+)"}, "staff": {"who": "hires ([A-Z][a-z]+)"}}
