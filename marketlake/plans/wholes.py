@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..bindings import NOTE, RATE, TICK, note, rate, tick
+from ..bindings import MACRO, NOTE, RATE, TICK, macro, note, rate, tick
 from ..functions import text as fn
+from ..functions import values
 from ..operators import facts, relevance, rules
 from ..operators import notes as op
 from ..registry import query
 from ..session import table
+from ..sources import sinks
 from .notes import FOLD, KEYWORDS, WORD
 
 
@@ -145,3 +148,42 @@ def w26(spark, sf_dir):
     from ..operators.series import change_pct
 
     return change_pct(rate(spark, sf_dir), "rate")
+
+
+#: Every column of lineitem in a form that both engines write alike: money in cents, shares in hundredths, times to the second.
+EVERY = {c: (c, c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")}
+EVERY |= {c: (f"CAST(round({c} * 100) AS BIGINT)",) * 2 for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+EVERY |= {"l_shipdate": ("date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')")}
+WHOLE = "SELECT " + ", ".join(f"{sql} AS {c}" for c, (_, sql) in EVERY.items()) + " FROM lineitem"
+
+
+@query("a33_whole_table_fingerprint", "WITH t AS (SELECT " + ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), 'NULL') AS {c}" for c in EVERY) + f" FROM ({WHOLE})) SELECT " + ", ".join(f"CAST(sum(CAST('0x' || substr(md5({c}), 1, 12) AS BIGINT)) % (CAST(1 AS HUGEINT) << 60) AS BIGINT) AS {c}" for c in EVERY) + f", CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(EVERY)})), 1, 12) AS BIGINT)) % (CAST(1 AS HUGEINT) << 60) AS BIGINT) AS whole, count(*) AS n FROM t")
+def a33_whole(spark, sf_dir):
+    """All columns of the table."""
+    return facts.fingerprint(table(spark, sf_dir, "lineitem").selectExpr(*[f"{expr} AS {c}" for c, (expr, _) in EVERY.items()]), list(EVERY))
+
+
+@query("w23_all_series", f"WITH {MACRO}, s AS (SELECT slug, max(periodo) >= '1999-01' AS live, slug = 'building' AS national, count(*) AS span FROM macro GROUP BY slug) SELECT slug, CAST(row_number() OVER (ORDER BY live DESC, national DESC, span DESC, slug) AS INTEGER) AS place FROM s")
+def w23(spark, sf_dir):
+    """Every segment's series, the national one first."""
+    series = macro(spark, sf_dir).groupBy("slug").agg((F.max("periodo") >= "1999-01").alias("live"), F.count("*").alias("span"))
+    order = Window.orderBy(F.desc("live"), F.desc(F.col("slug") == "building"), F.desc("span"), "slug")  # a row per series
+    return series.select("slug", F.row_number().over(order).alias("place"))
+
+
+@query("s25_shrink_guard_by_type", f"WITH {TICK}, g AS (SELECT event_type, count(*) FILTER (ts < TIMESTAMP '2024-01-12') AS n_new, count(*) AS n_old FROM tick GROUP BY 1) SELECT event_type, n_new, n_old, CASE WHEN n_new < 0.3 * n_old OR n_new < 10 THEN 'refused' ELSE 'ok' END AS verdict FROM g")
+def s25(spark, sf_dir):
+    """Each type's rows up to a day against all of them."""
+    rows = tick(spark, sf_dir)
+    return sinks.shrink_guard_by(rows.where("ts < TIMESTAMP_NTZ '2024-01-12 00:00:00'"), rows, "event_type", 10, 0.3)
+
+
+SUNDAY = "make_timestamp(year(t), {m}, 31, 0, 0, 0) - to_days(CAST(dayofweek(make_date(year(t), {m}, 31)) AS INTEGER))"
+
+
+@query("f34_all_hours", f"WITH r AS (SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + to_days(3653) AS t FROM orders) SELECT o_orderkey, t - CASE WHEN t >= {SUNDAY.format(m=3)} + to_hours(3) AND t < {SUNDAY.format(m=10)} + to_hours(3) THEN to_hours(2) ELSE to_hours(1) END AS utc FROM r")
+def f34(spark, sf_dir):
+    """All orders: an hour that the change of clocks skips counts as the one after it, one that it repeats as the first of both."""
+    local = F.expr("o_orderdate + make_dt_interval(3653, CAST(o_orderkey % 24 AS INT))")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", local.alias("t"))
+    return rows.select("o_orderkey", values.zoned_time(F.date_format("t", "dd/MM/yy HH:mm:ss")).cast("timestamp_ntz").alias("utc"))

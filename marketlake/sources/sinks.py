@@ -103,3 +103,12 @@ def archive_and_delete(notes: DataFrame, marker: str, today: str, archive_days:
     due = (F.col("fecha") > F.lit(marker).cast("date")) & (F.col("fecha") <= edge(archive_days))
     old = F.col("fecha") <= edge(keep_days)
     return notes.where(due | old), notes.where(F.coalesce(~old, F.lit(True))), notes.where(old)
+
+
+def shrink_guard_by(new: DataFrame, old: DataFrame, group: str, least: int, share: float) -> DataFrame:
+    """group, n_new, n_old, verdict for every group of either table: refused if the new one has under `least` rows or under `share` of
+    the old ones."""
+    counts = lambda rows, name: rows.groupBy(group).agg(F.count("*").alias(name))
+    both = counts(new, "n_new").join(counts(old, "n_old"), group, "full").na.fill(0, ["n_new", "n_old"])
+    refused = (F.col("n_new") < least) | (F.col("n_new") < share * F.col("n_old"))
+    return both.withColumn("verdict", F.when(refused, "refused").otherwise("ok"))
