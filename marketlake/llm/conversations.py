@@ -310,3 +310,32 @@ def repaired_turns(rows: DataFrame, audits: DataFrame) -> DataFrame:
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage all conversations, find their faults and repair them."""
     return audited(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def oracle() -> str:
+    """The contract in DuckDB SQL: shortest paths over the grammar's states, turn by turn. An insertion comes right before a turn or at the end, where
+    one or, after a system turn alone, two can pay."""
+    crc_table = "list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+    codes = "list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    follows = {START: "su", SYSTEM: "u", USER: "a", ASSISTANT: "u"}
+    same = ", ".join(f"('{s}', '{s}', '', 0, '')" for s in follows)
+    put = ", ".join(f"('{s}', '{q}', 'I', {INSERT}, '{ROLES[q]}:')" for s, after in follows.items() for q in after if q in ROLES)
+    keeps = ", ".join(f"('{s}', '{q}', 'K', {KEEP})" for s, after in follows.items() for q in after)
+    reroles = ", ".join(f"('{s}', '{q}', 'R', {REROLE})" for s, after in follows.items() for q in after if q in ROLES)
+    deletes = ", ".join(f"('{s}', '{s}', 'D', {DELETE})" for s in follows)
+    white = r"\x20\x09-\x0D"
+    join = lambda a, b: f"CASE WHEN {a} = '' THEN {b} WHEN {b} = '' THEN {a} ELSE {a} || chr(10) || {b} END"
+    line = "CASE m.letter WHEN 'K' THEN r.role || ':' || r.text WHEN 'R' THEN CASE m.q WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text ELSE '' END"
+    return f"""WITH RECURSIVE crc AS (SELECT {crc_table} AS t), c AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM conversations, crc),
+ d AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text, unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE code <> 0),
+ o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+ f AS (SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair, CASE WHEN NOT regexp_matches(text, '[^{white}]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN regexp_extract(text, '([^{white}])[{white}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM o),
+ ins(p, q, letter, cost, line) AS (VALUES {same}, {put}), moves(p, q, letter, cost) AS (VALUES {keeps}, {reroles}, {deletes}),
+ convs AS (SELECT DISTINCT conv_id FROM conversations),
+ dp AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, '{START}' AS st, 0 AS cost, '' AS audit, '' AS said FROM convs
+  UNION ALL SELECT conv_id, i, st, cost, audit, said FROM (SELECT dp.conv_id, r.i, m.q AS st, dp.cost + ins.cost + m.cost + CASE WHEN r.fault = 'truncated' AND m.letter <> 'D' THEN {TRUNCATED} ELSE 0 END AS cost, dp.audit || ins.letter || m.letter AS audit, {join(join('dp.said', 'ins.line'), line)} AS said,
+   row_number() OVER (PARTITION BY dp.conv_id, m.q ORDER BY dp.cost + ins.cost + m.cost + CASE WHEN r.fault = 'truncated' AND m.letter <> 'D' THEN {TRUNCATED} ELSE 0 END, dp.audit || ins.letter || m.letter) AS best
+   FROM dp JOIN f r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1 JOIN ins ON ins.p = dp.st JOIN moves m ON m.p = ins.q WHERE (m.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (m.letter <> 'K' OR r.initial = m.q)) WHERE best = 1),
+ n AS (SELECT convs.conv_id, coalesce(max(i), 0) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM convs LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM convs.conv_id GROUP BY 1),
+ e AS (SELECT n.*, dp.cost + CASE dp.st WHEN 'u' THEN {INSERT} WHEN 's' THEN {2 * INSERT} ELSE 0 END AS cost, dp.audit || CASE dp.st WHEN 'u' THEN 'I' WHEN 's' THEN 'II' ELSE '' END AS audit, dp.said || CASE dp.st WHEN 'u' THEN chr(10) || 'assistant:' WHEN 's' THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE '' END AS said FROM n JOIN dp ON dp.conv_id IS NOT DISTINCT FROM n.conv_id AND dp.i = n.n)
+SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, CAST(cost AS BIGINT) AS cost, audit, sha256(said) AS repaired_sha256 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM e) WHERE best = 1"""

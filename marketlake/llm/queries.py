@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses
+from . import conversations, licenses
 from .alignment import op13_alignment
 from .byte_bpe import op12_byte_bpe
 from .conversations import op11_conversations
@@ -32,4 +32,4 @@ QUERIES = {
     "op12_byte_bpe": op12_byte_bpe,
     "op13_alignment": op13_alignment,
 }
-ORACLE_SQL: dict[str, str] = {"op8_licenses": licenses.oracle()}
+ORACLE_SQL: dict[str, str] = {"op8_licenses": licenses.oracle(), "op11_conversations": conversations.oracle()}

@@ -99,6 +99,18 @@ def test_conversations_equal_all_edits(spark, talks, tmp_path):
     assert any(v == (0, 0, 0, 0, 0, 0, "", sha("")) for v in found.values())
 
 
+def test_conversations_in_sql(spark, talks):
+    import duckdb
+
+    conversations_ = spark.createDataFrame(talks, SHAPE)
+    frame = conversations_.toArrow()  # noqa: F841  DuckDB reads it
+    con = duckdb.connect()
+    con.sql("CREATE VIEW conversations AS SELECT * FROM frame")
+    said = con.sql(conversations.oracle())
+    found = conversations.audited(conversations.damaged(conversations_)).select(*said.columns)
+    assert sorted(map(str, said.fetchall())) == sorted(str(tuple(r)) for r in found.collect())
+
+
 def test_long_conversations_go_in_blocks(spark, monkeypatch):
     """Blocks of any size give what one block gives; a long conversation equals plain shortest paths over its states."""
     rng = random.Random(9)
@@ -328,3 +340,25 @@ def test_op9_rows_are_the_librarys(spark, tmp_path):
         start += len(ids)
     assert sorted(tuple(r) for r in QUERIES["op9_token_ids"](spark, str(tmp_path)).collect()) == want
 
+
+
+@pytest.mark.parametrize(("width", "seed"), [(25, 1), (30, 0), (40, 0), (40, 2), (45, 1)])
+def test_passages_around_a_phrase_that_all_texts_share(spark, width, seed):
+    """40 pairs share 50 words, `width` of which are in all 160 texts: every pair is found, and nothing else."""
+    from pyspark.sql import functions as F
+
+    from marketlake.llm.passages import passages
+
+    words = ["".join(random.Random(k).choices("abcdefghijklmnop", k=2 + k % 7)) for k in range(5000)]
+    rng = random.Random(97 * seed + width)
+    some = lambda n: rng.choices(words, k=n)
+    phrase, left = some(width), (50 - width) // 2
+    texts = []
+    for _ in range(40):
+        a, b = some(left), some(50 - width - left)
+        texts += [" ".join(some(80) + a + phrase + b + some(80)) for _ in range(2)]
+    texts += [" ".join(some(90) + phrase + some(90)) for _ in range(80)]
+    found = passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    number = {hashlib.md5(t.encode()).hexdigest(): k for k, t in enumerate(texts)}
+    rows = found.select(F.lower(F.hex("key")).alias("a"), F.lower(F.hex("other_key")).alias("b")).distinct().collect()
+    assert {tuple(sorted((number[r.a], number[r.b]))) for r in rows} == {(2 * k, 2 * k + 1) for k in range(40)}
