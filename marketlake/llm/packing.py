@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import documents, save, small_batches
-from .token_ids import default_tokenizer, encoder_of
+from .token_ids import cuts_hold, default_tokenizer, encoder_of
 
 BUCKETS, BUDGET = 16, 65_536
 CHUNK_ROWS = 50_000
@@ -35,12 +35,13 @@ def lengths(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, tie (a hash of the text) of every row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path, 4)
+        encoder = encoder_of(tokenizer_path, 4, by_chunk)
         for batch in batches:
             n = [len(encoder.encode(t)) // 4 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), batch.column(1)], names=["doc_id", "n_tokens", "tie"])
 
     small_batches(docs.sparkSession)
+    by_chunk = cuts_hold(tokenizer_path)
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(count, "doc_id long, n_tokens long, tie long")
 
 

@@ -150,9 +150,11 @@ class TokenFile:
         return [None] * self.nulls + [self.base + int(k) for k in self.keys.values()]
 
 
-def cuts_hold(settings: dict) -> bool:
-    """Whether a tokenizer cuts as CHUNK and PIECE do: it lower-cases, drops white space, splits by the known pattern, ends words by a
+def cuts_hold(tokenizer_path: str) -> bool:
+    """Whether a tokenizer (read once, on the driver) cuts as CHUNK and PIECE do: it lower-cases, drops white space, splits by the known pattern, ends words by a
     mark of their own and has no added tokens but those whose strings begin with <|."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        settings = json.load(f)
     first = ((settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
     splits = first.get("type") == "Split" and first.get("pattern") == SPLIT and first.get("behavior") == "Removed" and first.get("invert") is True
     added = all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in settings.get("added_tokens") or [])
@@ -169,13 +171,13 @@ class ChunkEncoder:
     kept: the older half goes when they are more.
     """
 
-    def __init__(self, tokenizer_path: str, width: int, most: int = 800_000):
+    def __init__(self, tokenizer_path: str, width: int, by_chunk: bool = True, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.most = Tokenizer.from_file(tokenizer_path), "<u2" if width == 2 else "<u4", most
         self.known: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
-        self.by_chunk = cuts_hold(json.loads(self.tokenizer.to_str()))
+        self.by_chunk = by_chunk
 
     def _room(self, known: dict[str, bytes]) -> None:
         if len(known) > self.most:
@@ -225,9 +227,9 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder_of(tokenizer_path: str, width: int) -> ChunkEncoder:
+def encoder_of(tokenizer_path: str, width: int, by_chunk: bool) -> ChunkEncoder:
     """The encoder of this Python worker; what it knows serves the worker's later tasks too."""
-    return ChunkEncoder(tokenizer_path, width)
+    return ChunkEncoder(tokenizer_path, width, by_chunk)
 
 
 def default_tokenizer() -> str:
@@ -255,7 +257,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         fs, root = file_system(out_dir)
-        encoder, end = encoder_of(tokenizer_path, width), end_id.to_bytes(width, "little")
+        encoder, end = encoder_of(tokenizer_path, width, by_chunk), end_id.to_bytes(width, "little")
         keys, lengths, blobs, size, seq = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
@@ -280,7 +282,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str, end_id
             yield close()
 
     small_batches(docs.sparkSession)
-    width = id_width(tokenizer_path)
+    width, by_chunk = id_width(tokenizer_path), cuts_hold(tokenizer_path)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)

@@ -285,8 +285,8 @@ def test_token_ids_of_any_tokenizer_are_the_librarys(tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps(settings))
     texts = [t for t in TEXTS if t] + ["Some Words, some MORE words; and so on.", "don't STOP\n\nhere 12.5"]
     for path in paths:
-        encoder, library = token_ids.ChunkEncoder(path, 4), Tokenizer.from_file(path)
-        assert encoder.by_chunk == (path == paths[0])
+        assert token_ids.cuts_hold(path) == (path == paths[0])
+        encoder, library = token_ids.ChunkEncoder(path, 4, token_ids.cuts_hold(path)), Tokenizer.from_file(path)
         for text in texts:
             assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
