@@ -15,7 +15,7 @@ from ..sources.snapshots import document_stream, flatten
 from ..sources.tables import merge_fields
 from ..sources.versioned import VersionedTable
 from ..streaming import stateful
-from .files import BY_STEM, PLUS, by_stem, snapshot_files
+from .files import GOOD, STEM, by_stem, snapshot_files
 
 
 @query("s10_versioned_replace", f"WITH {BOOK} SELECT ad_id, line, snapshot, side, price4, size, trader FROM (SELECT *, row_number() OVER (PARTITION BY ad_id, line ORDER BY snapshot DESC, price4 DESC, size DESC, trader DESC, side DESC) AS k FROM book) WHERE k = 1")
@@ -52,11 +52,14 @@ def s20(spark, sf_dir):
     return mirror.read()
 
 
-@query("s06_file_stream", BY_STEM.replace(PLUS, "0"))
+ADS = f"SELECT {STEM} AS stem, l_linestatus AS side, l_orderkey AS ad_id, l_linenumber AS line, CAST(round(l_extendedprice * 100) AS BIGINT) AS price4, CASE WHEN l_linenumber <> 6 THEN CAST(l_quantity AS BIGINT) END AS size FROM lineitem WHERE {GOOD}"
+
+
+@query("s06_file_stream", f"SELECT stem, count(*) AS n, CAST(sum(size) AS BIGINT) AS depth, count(*) AS n_banks FROM (SELECT *, row_number() OVER (PARTITION BY stem, side, ad_id, line ORDER BY price4 DESC, size DESC) AS k FROM ({ADS})) WHERE k = 1 GROUP BY stem")
 def s06(spark, sf_dir):
     """Files from 1997 on, then older ones, which a watermark would pass over; each file is taken once, and a repeated batch changes nothing."""
     root, checkpoint = shared_folder(spark, "snapshots"), shared_folder(spark, "checkpoint")
-    ads = VersionedTable(spark, shared_folder(spark, "ads"), "stem string, side string, ad_id long, line int, price4 long, size long, banks array<string>", ["stem", "side", "ad_id", "line"], file_rows=500_000)
+    ads = VersionedTable(spark, shared_folder(spark, "ads"), "stem string, side string, ad_id long, line int, price4 long, size long, banks array<string>", ["stem", "side", "ad_id", "line"], ["price4", "size"], file_rows=500_000)
     load = stateful.upsert_intake(ads, "snapshots", flatten)
     for where in ("year(l_shipdate) >= 1997", "year(l_shipdate) < 1997"):
         snapshot_files(spark, sf_dir, root, where=where)
