@@ -137,7 +137,11 @@ def rules() -> list[tuple[str, list[int]]]:
     out += [("Apache-2.0", first + number["apache-compliance"]) for first in short["Apache-2.0"]]
     out += [(name, [KNOWN.index(normalised(TAG + n)) + 1]) for name in NAMES for n in (name, f"{name}-only", f"{name}-or-later")]
     out += [(name, [KNOWN.index(normalised(line)) + 1 for line in lines]) for name, lines in sorted(TITLES.items(), key=lambda t: -len(t[1]))]
-    return out + [(k, seq) for k, seqs in short.items() for seq in seqs] + [("Apache-2.0", number["apache-compliance"] + number["apache-copy"]), ("proprietary", number["reserved"])]
+    return out + [(k, seq) for k, seqs in short.items() for seq in seqs] + [("Apache-2.0", number["apache-compliance"] + number["apache-copy"])]
+
+
+#: What is left of a text's numbers where rights are reserved after all licences that it names: before one, it is a copyright line.
+RESERVED = f" {_numbers(SENTENCES['reserved'])[0]} [^|]*$"
 
 
 def sentence_numbers(text: Column) -> Column:
@@ -156,9 +160,10 @@ def sentence_numbers(text: Column) -> Column:
     return F.filter(found, lambda n: n > 0)
 
 
-def licensed(names: Column) -> Column:
-    """names; rights are reserved in the copyright lines of free licences too, so "proprietary" stands only alone."""
-    return F.when(F.size(names) > 1, F.array_remove(names, "proprietary")).otherwise(names)
+def licensed(acc: Column) -> Column:
+    """The names that the rules gave, and "proprietary" where rights are reserved after them or alone."""
+    names = F.array_distinct(acc["names"])
+    return F.when(acc["rest"].rlike(RESERVED), F.array_append(names, "proprietary")).otherwise(names)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -173,7 +178,7 @@ def scan(docs: DataFrame) -> DataFrame:
         then = F.struct(F.replace(acc["rest"], rule["seq"], F.lit(" | ")).alias("rest"), F.array_append(acc["names"], rule["name"]).alias("names"))
         return F.when(hit, then).otherwise(acc)
 
-    ordered = F.when(F.size("ids") > 0, F.aggregate(table, start, step, lambda acc: F.array_join(licensed(F.array_distinct(acc["names"])), ","))).otherwise(F.lit(""))
+    ordered = F.when(F.size("ids") > 0, F.aggregate(table, start, step, lambda acc: F.array_join(licensed(acc), ","))).otherwise(F.lit(""))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_known"), F.array_join(F.transform("ids", lambda n: n.cast("string")), ",").alias("sentence_ids"), ordered.alias("licences"))
 
 
@@ -195,4 +200,4 @@ def oracle() -> str:
     for k, (name, seq) in enumerate(rules()):
         text = quote(" ".join(["", *map(str, seq), ""]))
         sql.append(f"r{k + 1} AS (SELECT doc_id, ids, replace(rest, {text}, ' | ') AS rest, CASE WHEN contains(rest, {text}) AND NOT list_contains(names, {quote(name)}) THEN list_append(names, {quote(name)}) ELSE names END AS names FROM r{k})")
-    return ",\n".join(sql) + f"\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(CASE WHEN len(names) > 1 THEN list_filter(names, lambda n: n <> 'proprietary') ELSE names END, ','), '') AS licences FROM r{len(rules())}"
+    return ",\n".join(sql) + f"\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(CASE WHEN regexp_matches(rest, '{RESERVED}') THEN list_append(names, 'proprietary') ELSE names END, ','), '') AS licences FROM r{len(rules())}"
