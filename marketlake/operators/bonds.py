@@ -2,8 +2,8 @@
 
 terms has bond, issue, maturity, months (between coupons), steps (array of (since, rate): coupon rates in per cent, in force
 after `since`) and repaid (array of (day, share of the face); NULL for a bullet). All arrays are a bond's terms or a curve's
-tenors, a few dozen entries. Solvers are folds over a fixed number of rounds inside one expression, so a table of
-bonds and dates of any length is solved row by row in the JVM.
+tenors, a few dozen entries. Prices and solvers take Arrow batches of rows and work on all their cash flows at once
+(pricing.py), in the partitions that Spark has made.
 
 Rates are decimals with semiannual compounding unless said otherwise; days are counted 30/360.
 """
@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rounds of a solver; six make an error of 1e-12 for bonds of thirty years.
-ROUNDS = 12
+from . import pricing
 
 
 def days_30_360(a: Column, b: Column) -> Column:
@@ -87,54 +86,23 @@ def flows_of(flows: DataFrame) -> DataFrame:
     return flows.groupBy("bond").agg(F.array_sort(F.collect_list(F.struct("pay_day", "coupon", "principal"))).alias("flows"))
 
 
-def ahead() -> Column:
-    """Of the columns flows and settle: (t in half years, total, principal) of the flows to come."""
-    later = F.filter("flows", lambda f: f["pay_day"] > F.col("settle"))
-    return F.transform(later, lambda f: F.struct((days_30_360(F.col("settle"), f["pay_day"]) / 180).alias("t"), (f["coupon"] + f["principal"]).alias("total"), f["principal"].alias("principal")))
-
-
-def present_value(flows: Column, y: Column) -> Column:
-    """Value of flows (t, total) at one yield: the dirty price."""
-    return F.aggregate(flows, F.lit(0.0), lambda acc, f: acc + f["total"] / F.pow(1 + y / 2, f["t"]))
-
-
-def solved(flows: Column, target: Column, lo: float, hi: float, on_curve: bool = False) -> Column:
-    """The y between lo and hi at which flows (t, total; on a curve also its rate z, to which y is added) are worth the target.
-
-    The logarithm of the value falls in y and is convex, so Newton's steps for it, begun at lo, close in from one side and
-    need a few rounds. Flows and target are carried in the fold's state: they are computed once and not in each round.
-    """
-    start = F.struct(F.lit(lo).alias("y"), flows.alias("flows"), target.alias("target"))
-    base = lambda f, y: 1 + (f["z"] + y) / 2 if on_curve else 1 + y / 2
-
-    def step(acc: Column, _: Column) -> Column:
-        zero = F.struct(F.lit(0.0).alias("value"), F.lit(0.0).alias("slope"))
-        add = lambda s, f: F.struct((s["value"] + f["total"] / F.pow(base(f, acc["y"]), f["t"])).alias("value"), (s["slope"] + f["t"] / 2 * f["total"] / F.pow(base(f, acc["y"]), f["t"] + 1)).alias("slope"))
-        further = lambda s: acc["y"] + s["value"] / s["slope"] * F.log(s["value"] / acc["target"])
-        y = F.greatest(F.lit(lo), F.least(F.lit(hi), F.aggregate(acc["flows"], zero, add, further)))
-        return F.struct(y.alias("y"), acc["flows"].alias("flows"), acc["target"].alias("target"))
-
-    y = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda acc: acc["y"])
-    return F.when((F.size(flows) > 0) & (target > 0), y)
-
-
 def dealt_out(rows: DataFrame, *keys: str) -> DataFrame:
     """rows over all shuffle partitions: a solver takes far more time a row than its few bytes let adaptive execution expect.
 
-    What was computed before is a column then, and not computed again for each cash flow.
+    Deal narrow rows, before cash flows and curves are joined to them: those are a hundred times as wide.
     """
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def present_value(y: Column) -> Column:
+    """Value of the flows after settle (columns flows, settle) at one yield: the dirty price."""
+    return pricing.price()("flows", "settle", y)
+
+
 def yields(priced: DataFrame) -> DataFrame:
     """priced (flows, settle, dirty, ...) with ytm, duration (years) and life (years): NULL where no flow is to come."""
-    rows = dealt_out(priced, "settle", "dirty").withColumn("__ahead", ahead())
-    rows = rows.withColumn("ytm", solved(F.col("__ahead"), F.col("dirty"), -0.5, 5.0))
-    weigh = lambda part: F.aggregate("__ahead", F.lit(0.0), lambda acc, f: acc + part(f))
-    pv = lambda f: f["total"] / F.pow(1 + F.col("ytm") / 2, f["t"])
-    duration = weigh(lambda f: pv(f) * f["t"] / 2) / F.nullif(weigh(pv), F.lit(0.0))
-    life = weigh(lambda f: f["principal"] * f["t"] / 2) / F.nullif(weigh(lambda f: f["principal"]), F.lit(0.0))
-    return rows.withColumn("duration", duration).withColumn("life", life).drop("__ahead")
+    rows = priced.withColumn("__solved", pricing.yields()("flows", "settle", F.col("dirty").cast("double")))
+    return rows.select(*[rows[c] for c in priced.columns], "__solved.ytm", "__solved.duration", "__solved.life")
 
 
 def interpolated(points: Column, t: Column, x: str = "t", y: str = "y") -> Column:
@@ -148,47 +116,25 @@ def interpolated(points: Column, t: Column, x: str = "t", y: str = "y") -> Colum
 
 
 def zero_curves(curves: DataFrame, years: int = 40) -> DataFrame:
-    """fecha, zero: array of (t, z) on half years, bootstrapped from par curves (fecha, par: array of (t, y in per cent)).
-
-    The discount factor of a node is (1 - p/2 * those before) / (1 + p/2); the fold carries their sum.
-    """
-    nodes = F.transform(F.sequence(F.lit(1), F.lit(2 * years)), lambda k: F.struct((k / 2).alias("t"), (interpolated(F.col("par"), k / 2) / 200).alias("p")))
-    empty = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<struct<t:double,z:double>>").alias("zero"))
-
-    def add(acc: Column, node: Column) -> Column:
-        df = (1 - node["p"] * acc["sum"]) / (1 + node["p"])
-        z = F.struct(node["t"].alias("t"), (2 * (F.pow(df, -1 / (2 * node["t"])) - 1)).alias("z"))
-        return F.struct((acc["sum"] + df).alias("sum"), F.concat(acc["zero"], F.array(z)).alias("zero"))
-
-    # the nodes first, so that the fold doesn't interpolate again
-    rows = curves.select("fecha", nodes.alias("nodes"))
-    return rows.select("fecha", F.aggregate("nodes", empty, add, lambda acc: acc["zero"]).alias("zero"))
-
-
-def zero_at(zero: Column, halves: Column) -> Column:
-    """Zero rate at a time in half years, on the line between the curve's nodes, flat beyond its ends."""
-    z = lambda k: F.get(zero, F.greatest(F.least(k, F.size(zero) - 1), F.lit(0)))["z"]
-    below = F.floor(halves).cast("int")
-    w = F.when((halves <= 1) | (halves >= F.size(zero)), 0.0).otherwise(halves - below)
-    return z(below - 1) + w * (z(below) - z(below - 1))
+    """fecha, zero: array of (t, z) on half years, bootstrapped from par curves (fecha, par: array of (t, y in per cent))."""
+    return curves.select("fecha", pricing.zero(2 * years)("par").alias("zero"))
 
 
 def z_spreads(priced: DataFrame) -> DataFrame:
     """priced (flows, settle, dirty, zero) with z_spread: what is added to the zero curve to meet the dirty price."""
-    on_curve = F.transform(ahead(), lambda f: F.struct(f["t"].alias("t"), f["total"].alias("total"), zero_at(F.col("zero"), f["t"]).alias("z")))
-    rows = dealt_out(priced, "settle", "dirty").withColumn("__ahead", on_curve)
-    return rows.withColumn("z_spread", solved(F.col("__ahead"), F.col("dirty"), -0.05, 0.6, on_curve=True)).drop("__ahead")
+    return priced.withColumn("z_spread", pricing.z_spread()("flows", "settle", F.col("dirty").cast("double"), F.col("zero")["z"]))
 
 
 def outstanding(terms: DataFrame, days: DataFrame, settle_days: int = 2) -> DataFrame:
     """days (fecha, ...) x bonds that are out then: settle is `settle_days` after fecha, issue <= settle < maturity.
 
-    A bond is listed under each of its months, so that the join is by equality.
+    A bond is listed under each of its months, so that the join is by equality; the days, one row for each of the calendar, go to
+    the bonds, which stay where they are.
     """
     month = lambda c: F.trunc(c, "month")
     listed = terms.withColumn("__month", F.explode(F.sequence(month("issue"), month("maturity"), F.expr("INTERVAL 1 MONTH"))))
     dated = days.withColumn("settle", F.date_add("fecha", settle_days)).withColumn("__month", month("settle"))
-    return dated.join(listed, "__month").where("issue <= settle AND settle < maturity").drop("__month")
+    return listed.join(F.broadcast(dated), "__month").where("issue <= settle AND settle < maturity").drop("__month")
 
 
 def market_value_mean(rows: DataFrame, value: str, by: str = "fecha") -> DataFrame:
@@ -203,14 +149,17 @@ def spread_history(terms: DataFrame, days: DataFrame, curves: DataFrame, anchor_
     The market's yield stands for prices: the par rate at the time to maturity and the market's spread. With an anchor the
     whole series is shifted to meet it on the nearest day, the earlier of two.
     """
-    flows = flows_of(cashflows(terms))
-    rows = outstanding(terms, days).join(flows, "bond")
-    rows = rows.join(curves, "fecha").join(zero_curves(curves), "fecha")
+    flows = terms.select("bond", "issue", "maturity", "amount").join(flows_of(cashflows(terms)), "bond")
+    # bonds with the same flows have the same price and spread on every day: solved once, weighted by all their amounts
+    alike = flows.groupBy("issue", "maturity", "flows").agg(F.count("*").alias("bonds"), F.sum("amount").alias("amount"))
+    calendar = days.join(curves, "fecha").join(zero_curves(curves), "fecha")
+    rows = outstanding(dealt_out(alike), calendar)
     years = days_30_360(F.col("settle"), F.col("maturity")) / 360
-    market = interpolated(F.col("par"), years) / 100 + F.col("market_bp") / 10000
-    rows = dealt_out(rows.withColumn("market", market), "fecha", "bond")
-    rows = rows.withColumn("dirty", present_value(ahead(), F.col("market"))).where("dirty > 0")
-    means = market_value_mean(z_spreads(rows), "z_spread").select("fecha", "n", (F.col("z_spread") * 10000).alias("spread_bp"))
+    market = pricing.line()("par", years) / 100 + F.col("market_bp") / 10000
+    rows = rows.withColumn("dirty", present_value(market)).where("dirty > 0")
+    mv = F.col("amount") * F.col("dirty") / 100
+    mean = F.sum(mv * F.col("z_spread")) / F.nullif(F.sum(mv), F.lit(0.0))
+    means = z_spreads(rows).groupBy("fecha").agg(F.sum("bonds").alias("n"), (mean * 10000).alias("spread_bp"))
     if anchor_day is None:
         return means
     near = F.struct(F.abs(F.datediff("fecha", F.lit(anchor_day).cast("date"))), F.col("fecha"))

@@ -35,8 +35,9 @@ def terms(spark, sf_dir):
 
 def trades(spark, sf_dir):
     """bond, settle, q: the different deliveries while the supplier's bond is out."""
-    rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("B"), F.col("l_suppkey")).alias("bond"), F.to_date("l_shipdate").alias("settle"), F.col("l_quantity").cast("long").alias("q")).distinct()
-    return rows.join(terms(spark, sf_dir).select("bond", "issue", "maturity"), "bond").where("issue <= settle AND settle < maturity").select("bond", "settle", "q")
+    rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("B"), F.col("l_suppkey")).alias("bond"), F.to_date("l_shipdate").alias("settle"), F.col("l_quantity").cast("long").alias("q"))
+    # by bond, as the joins with terms and flows need them: one shuffle of narrow rows
+    return op.dealt_out(rows, "bond").distinct().join(terms(spark, sf_dir).select("bond", "issue", "maturity"), "bond").where("issue <= settle AND settle < maturity").select("bond", "settle", "q")
 
 
 def curves(spark, sf_dir):
@@ -63,7 +64,7 @@ def with_flows(spark, sf_dir):
 
 @query("m23_price_of_yield", f"WITH {TRADES} SELECT bond, settle, q, round({PV.format(y='q / 500.0 :: DOUBLE')}, 6) AS dirty FROM ahead")
 def m23(spark, sf_dir):
-    price = op.present_value(op.ahead(), F.col("q") / 500)
+    price = op.present_value(F.col("q") / 500)
     return with_flows(spark, sf_dir).select("bond", "settle", "q", F.round(price, 6).alias("dirty"))
 
 
@@ -95,7 +96,8 @@ def f28(spark, sf_dir):
 
 def priced(spark, sf_dir):
     """The trades on days with a curve, at a price of 60 and the quantity."""
-    rows = with_flows(spark, sf_dir).join(op.zero_curves(curves(spark, sf_dir)).withColumnRenamed("fecha", "settle"), "settle")
+    zero = op.zero_curves(curves(spark, sf_dir)).withColumnRenamed("fecha", "settle")
+    rows = with_flows(spark, sf_dir).join(F.broadcast(zero), "settle")  # a row for each day of the calendar
     return rows.withColumn("dirty", F.lit(60.0) + F.col("q"))
 
 

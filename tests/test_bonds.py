@@ -138,3 +138,24 @@ def test_debt_service_peak(spark):
     whole = {r.year: r for r in rows if r.bond is None}
     assert [y for y, r in whole.items() if r.peak] == [2028]
     assert abs(whole[2028].paid - sum(r.paid for r in rows if r.year == 2028 and r.bond)) < 1e-9
+
+
+def test_narrow_rows_are_dealt_out(spark):
+    """Cash flows and curves come to the trades after their shuffle; a solver doesn't send them around."""
+    from marketlake import catalog
+
+    for name in ("m23_price_of_yield", "m24_yield_of_price", "m26_z_spreads", "m27_spread_history"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        dealt = [x for x in plan.splitlines() if "Exchange" in x and "REPARTITION_BY_NUM" in x]
+        assert dealt and not any("dirty" in x or "fecha" in x for x in dealt)
+
+
+def test_bonds_alike_are_weighted_by_all_their_amounts(spark):
+    twin = ("twin", *ROWS[0][1:6], 3000.0)
+    days = spark.createDataFrame([(D(2022, 1, 3), 400.0)], "fecha date, market_bp double")
+    curves = spark.createDataFrame([(D(2022, 1, 3), [(30.0, 5.0), (1.0, 3.0)])], "fecha date, par array<struct<t:double,y:double>>")
+    of = lambda *rows: bonds.spread_history(spark.createDataFrame(rows, TERMS), days, curves).first()
+    one, other, both = of(*ROWS[:1]), of(ROWS[1]), of(ROWS[0], twin, ROWS[1])
+    more = of((*ROWS[0][:6], 4000.0), ROWS[1])
+    assert (one.n, other.n, both.n) == (1, 1, 3) and abs(both.spread_bp - more.spread_bp) < 1e-9
+    assert min(one.spread_bp, other.spread_bp) < both.spread_bp < max(one.spread_bp, other.spread_bp)
