@@ -8,22 +8,46 @@ from pyspark.sql import functions as F
 NONE = "—"
 
 
+def fixed(value: Column, places: int) -> Column:
+    """A number with that many places as C's printf writes it: the binary value rounded exactly, its ties to even. (format_string
+    rounds the shortest decimal form half up.)"""
+    one = 1 << 52
+    size = F.abs(value.cast("double"))
+    whole = F.floor(size)
+    scaled = (size - whole) * float(one)
+    bits = F.floor(scaled)
+    # bits of a value below 1 that don't fit in 52 places
+    more = (scaled - bits) * float(10**places)
+    wide = bits * 10**places + F.floor(more)
+    digits, rest = F.shiftright(wide, 52), wide.bitwiseAND(F.lit(one - 1))
+    odd = (digits if places else whole).bitwiseAND(F.lit(1)) == 1
+    beyond = odd | (more > F.floor(more))
+    up = (rest > one // 2) | ((rest == one // 2) & beyond)
+    digits = digits + up.cast("long")
+    whole = whole + (digits >= 10**places).cast("long")
+    text = whole.cast("string")
+    if places:
+        text = F.concat(text, F.lit("."), F.lpad((digits % 10**places).cast("string"), places, "0"))
+    exact = F.concat(F.when(value < 0, "-").otherwise(""), text)
+    return F.when(size < 1e15, exact).otherwise(F.format_string(f"%.{places}f", value))
+
+
 def delta_text(current: Column, reference: Column, unit: str = "BOB", least: float = 0.005) -> Column:
     """+0.12 unit, -0.12 unit, =0.00 unit, or a dash if either value is missing."""
     d = current - reference
-    size = F.format_string("%.2f", F.abs(d))
+    size = fixed(F.abs(d), 2)
     text = F.when(F.abs(d) < least, F.lit(f"=0.00 {unit}")).when(d > 0, F.concat(F.lit("+"), size, F.lit(f" {unit}"))).otherwise(F.concat(F.lit("-"), size, F.lit(f" {unit}")))
     return F.when(d.isNotNull(), text).otherwise(NONE)
 
 
-def _comma(value: Column, form: str) -> Column:
-    return F.replace(F.format_string(form, value), F.lit("."), F.lit(","))
+def _comma(value: Column, places: int) -> Column:
+    return F.replace(fixed(value, places), F.lit("."), F.lit(","))
 
 
 def short_amount(value: Column, currency: str = "Bs") -> Column:
     """Bs 25,0 M; Bs 30 mil; Bs 12; Bs 12,50: a decimal comma, millions and thousands named."""
-    text = F.when(value >= 1e6, F.concat(_comma(value / 1e6, "%.1f"), F.lit(" M"))).when(value >= 1e3, F.concat(F.bround(value / 1e3).cast("long").cast("string"), F.lit(" mil")))
-    text = text.when(value == F.floor(value), F.floor(value).cast("string")).otherwise(_comma(value, "%.2f"))
+    text = F.when(value >= 1e6, F.concat(_comma(value / 1e6, 1), F.lit(" M"))).when(value >= 1e3, F.concat(F.bround(value / 1e3).cast("long").cast("string"), F.lit(" mil")))
+    text = text.when(value == F.floor(value), F.floor(value).cast("string")).otherwise(_comma(value, 2))
     return F.when(value.isNotNull(), F.concat(F.lit(f"{currency} "), text))
 
 
@@ -34,12 +58,12 @@ def visits_text(n: Column) -> Column:
 
 def percent_text(value: Column) -> Column:
     """+1,25%, -1,25% or 0,00%, or a dash."""
-    return F.when(value.isNotNull(), F.concat(F.when(value > 0, "+").otherwise(""), _comma(value, "%.2f"), F.lit("%"))).otherwise(NONE)
+    return F.when(value.isNotNull(), F.concat(F.when(value > 0, "+").otherwise(""), _comma(value, 2), F.lit("%"))).otherwise(NONE)
 
 
 def volume_text(value: Column) -> Column:
     """US$ 1,2 B, US$ 3 M, US$ 4 K or US$ 5, or a dash for nothing."""
-    text = F.when(value >= 1e9, F.concat(_comma(value / 1e9, "%.1f"), F.lit(" B"))).when(value >= 1e6, F.concat(F.round(value / 1e6).cast("long").cast("string"), F.lit(" M")))
+    text = F.when(value >= 1e9, F.concat(_comma(value / 1e9, 1), F.lit(" B"))).when(value >= 1e6, F.concat(F.round(value / 1e6).cast("long").cast("string"), F.lit(" M")))
     text = text.when(value >= 1e3, F.concat(F.round(value / 1e3).cast("long").cast("string"), F.lit(" K"))).otherwise(F.round(value).cast("long").cast("string"))
     return F.coalesce(F.when(value > 0, F.concat(F.lit("US$ "), text)), F.lit(NONE))
 
