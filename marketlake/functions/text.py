@@ -35,14 +35,18 @@ def html_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(html, "<[^>]+>", " "), "&#[0-9]+;|&[0-9A-Za-z_]+;", " "), "[ \\t\\n\\r\\f]+", " "))
 
 
+#: The separators of words in Unicode (Zs).
+BLANKS = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
 def cut_at_word(text: Column, most: int, ellipsis: str = "") -> Column:
     """The trimmed text if it has at most `most` characters; else cut at the last blank before, hard if that is in the first
     half, without blanks and stops at the end, and with the ellipsis."""
-    text = F.trim(text)
+    text = F.btrim(text, F.lit(BLANKS))
     head = F.substring(text, 1, most)
     words = F.regexp_extract(head, "(?s)^(.*) [^ ]*$", 1)
     cut = F.when(F.length(words) >= most // 2, words).otherwise(head)
-    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.regexp_replace(cut, "[ ,;:.]+$", ""), F.lit(ellipsis)))
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.regexp_replace(cut, r"[ ,;:.]+\z", ""), F.lit(ellipsis)))
 
 
 #: Query parameters that only track a visit.

@@ -31,6 +31,23 @@ def test_cut_at_word(spark):
     assert each(spark, lambda t: fn.cut_at_word(t, 10, "…"), "abc def, ghi jkl", "a bcdefghijklmnop", "short") == ["abc def…", "a bcdefghi…", "short"]
 
 
+def test_cut_leaves_a_stop_before_a_line_end(spark):
+    assert each(spark, lambda t: fn.cut_at_word(t, 10, "…"), "abcd ef.\n ghijkl", "abcd ef.\n, ghijkl") == ["abcd ef.\n…", "abcd ef.\n…"]
+    assert each(spark, lambda t: fn.cut_at_word(t, 10, "…"), "\u00a0abc \u3000") == ["abc"]
+
+
+def test_fixed_places_equal_printf(spark):
+    import random
+
+    rng = random.Random(5)
+    values = [1.25, 1.35, 5.55, 1.15, 0.05, 0.25, 0.15, 0.95, 9.96, -2.25, 0.0, -0.004, 1e-20, 0.125, 0.375, 123456.75, *(rng.randrange(10**9) * 50_000 / 1e6 for _ in range(300)), *(rng.uniform(-100, 100) for _ in range(200))]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = df.select("v", val.fixed(F.col("v"), 1), val.fixed(F.col("v"), 2)).collect()
+    assert [tuple(r)[1:] for r in rows] == [(f"{r.v:.1f}", f"{r.v:.2f}") for r in rows]
+    million = spark.createDataFrame([(5_550_000,), (9_250_000,)], "n long").select(val.short_amount(F.col("n"))).collect()
+    assert [r[0] for r in million] == ["Bs 5,5 M", "Bs 9,2 M"]
+
+
 def test_dates_in_every_form(spark):
     d = datetime.date(2026, 6, 26)
     got = each(spark, fn.any_date, "al 2026-06-26", "26/06/2026", "26-06-2026", "26 de Junio de 2026", "26-jun-2026", "1999-01-01", "31/02/2026", "mañana", None)
