@@ -51,6 +51,33 @@ def test_snapshot_table(spark, tmp_path):
     assert table.status() == {"watermark": "20260511T000000Z_snapshot", "files": 6, "pending": 0, "rows": 12, "snapshots": 1}
 
 
+def test_snapshot_table_has_no_folder_for_each_stem(spark, tmp_path):
+    """A folder and a file for each of a hundred thousand stems take longer than their rows."""
+    for k in range(40):
+        write(tmp_path / "in" / f"20260506T03{k:02d}07Z_snapshot.json", snapshot(2))
+    table = SnapshotTable(spark, [f"file://{tmp_path}/in"], f"file://{tmp_path}/out")
+    assert table.rebuild().rows == table.rebuild().rows == 80
+    assert len(list((tmp_path / "out" / "ads").rglob("*.parquet"))) < 20
+    # a load that stopped before its record isn't seen
+    table.rows().limit(1).write.parquet(f"file://{tmp_path}/out/ads/base=1/load=2")
+    assert table.rows().count() == table.status()["rows"] == 80
+    write(tmp_path / "in" / "20260506T030007Z_snapshot.json", snapshot(5))
+    assert table.reload_since("2026-05-06").rows == 83 and table.rows().count() == 83
+
+
+def test_documents_go_to_files_in_small_batches(spark, tmp_path):
+    from marketlake.plans.files import DOCUMENTS, snapshot_files
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        snapshot_files(spark, "/root/testdata/sf0.001", f"file://{tmp_path}/in")
+        assert int(spark.conf.get(name)) <= DOCUMENTS and list((tmp_path / "in").rglob("*.json.gz"))
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_failed_pages_stay_visible(spark, tmp_path):
     write(tmp_path / "20260506T031907Z_snapshot.json", snapshot(2))
     read = read_documents(spark, [f"file://{tmp_path}"])
