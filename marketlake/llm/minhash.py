@@ -1,9 +1,9 @@
 """Near-duplicate classes: improved consistent weighted sampling over TF-IDF word shingles.
 
-1. Weights. A five-word shingle weighs its count in the text times 1 + ln((1 + N) / (1 + df)) / ln(1 + N). Every document counts for df;
-   below a floor of pairs / HEAVY documents df counts as the floor, so at most HEAVY shingles have a weight of their own and
-   their table may go to every task, at any size of the input. They are found exactly: bucket counts of all shingles (a
-   fixed number of buckets) show which buckets can hold one, then the shingles of these are counted themselves.
+1. Weights. A five-word shingle weighs its count in the text times 1 + ln((1 + N) / (1 + df)) / ln(1 + N), with the exact df, for
+   which every document counts. Chunks of texts send their different shingles, each once with its number of documents, in
+   blocks by range of the hash; where a range's blocks meet the numbers are added, and each block gets its answer back. So
+   a shingle that is in every text is one entry of each chunk, and no task holds more than a range or a chunk.
 2. Signatures. Improved consistent weighted sampling draws for each hash the shingle and level (k, t) that two weighted sets
    share with a probability of their weighted Jaccard similarity; its gamma and uniform variates come from tables indexed by
    hash bits. Each band takes ROWS of the DRAWS draws, and bands share draws: a pair at exactly 0.8 misses all BANDS bands
@@ -28,9 +28,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chunks import by_chunk, chunks_of, read_arrays, write_arrays
 from .common import Workspace, documents, free_name, save, small, small_batches
 from .components import components
 from .features import MIX, shingles
@@ -38,22 +40,44 @@ from .features import MIX, shingles
 DRAWS, ROWS, BANDS = 48, 5, 32
 #: Stars go on while a round links this share of the pairs that it compares.
 WORTH = 0.1
-HEAVY = 1 << 15
-BUCKETS = 1 << 18
+#: A chunk is closed by the text that brings it to so many characters; ranges of hashes are as many as there are such chunks.
+CHUNK = 4 << 20
 SIMILARITY = 0.8
 
 
 class Idf:
-    """Weights of heavy shingles (sorted hashes) and that of all others."""
+    """Weights of shingles among `rows` documents: of given document frequencies, or of known shingles (sorted hashes, their
+    frequencies; others have 1)."""
+
+    def __init__(self, rows: int, hashes: np.ndarray | None = None, df: np.ndarray | None = None):
+        self.rows, self.hashes, self.df = rows, hashes, df
+
+    def weights(self, df: np.ndarray) -> np.ndarray:
+        # divided by its greatest value, so that a text isn't less like its copies for being copied often
+        return 1 + np.log((1 + self.rows) / (1 + df.astype(float))) / max(float(np.log(1 + self.rows)), 1e-9)
+
+    def of(self, hashes: np.ndarray, df: bytes | None = None) -> np.ndarray:
+        """Weights of a text's sorted different shingles; df has their frequencies as packed() has them."""
+        if df is not None:
+            return self.weights(unpacked(df, len(hashes)))
+        if self.hashes is None or not len(self.hashes):
+            return self.weights(np.ones(len(hashes)))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.weights(np.where(self.hashes[at] == hashes, self.df[at], 1))
 
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray, other: float):
-        self.hashes, self.weights, self.other = hashes, weights, other
 
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), self.other)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.weights[at], self.other)
+def packed(df: np.ndarray) -> bytes:
+    """Frequencies, most of which are 1: a bit for each that isn't, then these as u32."""
+    more = df > 1
+    return np.packbits(more).tobytes() + df[more].astype("<u4").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    bits = (n + 7) // 8
+    more = np.unpackbits(np.frombuffer(data, np.uint8, bits), count=n).view(bool)
+    out = np.ones(n, dtype=np.int64)
+    out[more] = np.frombuffer(data, "<u4", offset=bits)
+    return out
 
 
 def counted(all_shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,18 +89,18 @@ def counted(all_shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[at], np.diff(at, append=len(s))
 
 
-def weighted(texts: pa.Array, idf: Idf) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted shingle hashes of each text and their weights."""
+def weighted(texts: pa.Array, idf: Idf, df: pa.Array | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingle hashes of each text and their weights; df has each text's frequencies, where idf doesn't know them."""
     pairs = [counted(s) for s in shingles(texts)]
-    return [(h, n * idf.of(h)) for h, n in pairs]
+    return [(h, n * idf.of(h, its)) for (h, n), its in zip(pairs, df.to_pylist() if df is not None else [None] * len(pairs), strict=True)]
 
 
-def weighted_copies(texts: pa.Array, idf: Idf) -> list[tuple[np.ndarray, np.ndarray]]:
+def weighted_copies(texts: pa.Array, idf: Idf, df: pa.Array | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """weighted() with one element for each copy of a shingle, so that weighted sets become plain ones."""
     out = []
-    for found in shingles(texts):
+    for found, its in zip(shingles(texts), df.to_pylist() if df is not None else [None] * len(texts), strict=True):
         h, n = counted(found)
-        w = idf.of(h)
+        w = idf.of(h, its)
         if len(h) and n.max() > 1:
             nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             h, w = np.repeat(h, n) + nth.astype(np.uint64) * MIX, np.repeat(w, n)
@@ -166,89 +190,137 @@ def over_texts(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], It
     return docs.mapInArrow(run, schema)
 
 
-def shingle_weights(docs: DataFrame, tables: Workspace) -> Idf:
-    """Inverse document frequencies over all rows of docs (text)."""
+def planes(values: np.ndarray) -> bytes:
+    """Numbers by the places of their bytes: high bytes, mostly zeros, stand together and shrink in the shuffle."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
 
-    def bucket_counts():
-        counts, totals = np.zeros(BUCKETS, dtype=np.int64), np.zeros(2, dtype=np.int64)
 
-        def each(batch):
-            if batch is None:
-                at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_pydict({"bucket": np.concatenate([at, [-1, -2]]), "n": np.concatenate([counts[at], totals])})
-                return
-            for found in shingles(batch.column(0)):
-                h, _ = counted(found)
-                np.add.at(counts, (h & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
-                totals[:] += (len(h), 1)
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
-        return each
 
-    texts = docs.select("text")
-    sums = tables.save(over_texts(texts, bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "bucket-counts")
-    totals = {r["bucket"]: r["n"] for r in sums.where("bucket < 0").collect()}
-    pairs, rows = totals.get(-1, 0), totals.get(-2, 0)
-    floor = max(1.0, pairs / HEAVY)
-    # at most HEAVY of the BUCKETS buckets
-    full = np.array([r["bucket"] for r in sums.where((F.col("bucket") >= 0) & (F.col("n") >= floor)).select("bucket").collect()], dtype=np.int64)
-    flags = np.zeros(BUCKETS, dtype=bool)
-    flags[full] = True
-    packed = np.packbits(flags)
-
-    def exact_counts():
-        flags, kept = np.unpackbits(packed).view(bool), []
-
-        def out():
-            h, n = np.unique(np.concatenate(kept), return_counts=True)
-            kept.clear()
-            return pa.RecordBatch.from_pydict({"shingle": h.view(np.int64), "n": n})
+BLOCK = "range int, chunk string, hashes binary, n binary"
 
-        def each(batch):
-            if batch is not None:
-                for found in shingles(batch.column(0)):
-                    h, _ = counted(found)
-                    kept.append(h[flags[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]])
-            if kept and (batch is None or sum(map(len, kept)) > 2_000_000):
-                yield out()
 
-        return each
+def blocks_of_chunks(docs: DataFrame, ranges: int, root: str | None) -> DataFrame:
+    """The different shingles of each chunk of docs (key, text), with their numbers of documents, a block for each range of hashes.
 
-    heavy = over_texts(texts, exact_counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    # at most HEAVY shingles have so many documents
-    found = heavy.where(F.col("n") > floor).collect() if len(full) else []
-    found = sorted((np.uint64(r["shingle"] & 0xFFFFFFFFFFFFFFFF), r["n"]) for r in found)
-    hashes = np.array([h for h, _ in found], dtype=np.uint64)
-    # divided by its greatest value, so that a text isn't less like its copies for being copied often
-    scale = max(float(np.log(1 + rows)), 1e-9)
-    weights = 1 + np.log((1 + rows) / (1 + np.array([n for _, n in found], dtype=float))) / scale
-    return Idf(hashes, weights, 1 + float(np.log((1 + rows) / (1 + min(floor, rows)))) / scale)
+    The chunk's texts are kept below root, named by place, so a repeated attempt makes the same file and rows.
+    """
+    bounds = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for k, (keys, texts) in enumerate(chunks_of(batches, CHUNK)):
+            name = f"{task}-{k}"
+            raw = [t.encode() for t in texts]
+            if root is not None:
+                sizes = np.array([len(t) for t in raw], np.int64)
+                write_arrays(root, name, {"keys": np.frombuffer(b"".join(keys), np.uint8), "sizes": sizes, "text": np.frombuffer(b"".join(raw), np.uint8)})
+            del raw
+            h, n = counted(np.concatenate([counted(s)[0] for part in parts_of(pa.array(texts, pa.large_string())) for s in shingles(part)]))
+            ends = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
+            some = [(r, s, e) for r, (s, e) in enumerate(zip(ends, ends[1:], strict=False)) if e > s]
+            for at in range(0, len(some), 256):
+                rows = some[at : at + 256]
+                columns = [[r for r, _, _ in rows], [name] * len(rows), [planes(np.diff(h[s:e], prepend=np.uint64(0))) for _, s, e in rows], [planes(n[s:e].astype("<u4")) for _, s, e in rows]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int32(), pa.string(), pa.binary(), pa.binary()], strict=True)], names=["range", "chunk", "hashes", "n"])
+            if not some:  # a chunk without words has an answer too
+                yield pa.RecordBatch.from_pydict({"range": pa.array([0], pa.int32()), "chunk": [name], "hashes": pa.array([b""], pa.binary()), "n": pa.array([b""], pa.binary())})
 
+    small_batches(docs.sparkSession)
+    return docs.select("key", "text").mapInArrow(cut, BLOCK)
 
-def signatures(texts: DataFrame, idf: Idf) -> DataFrame:
-    """key, bands of texts (key, text) with words."""
 
-    def make():
-        sampler = Sampler()
+def parts_of(texts: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
+    for at in range(0, len(texts), rows):
+        yield texts.slice(at, rows)
 
-        def each(batch):
-            if batch is None:
-                return
-            keys, bands = [], []
-            for key, (h, w) in zip(batch.column(0).to_pylist(), weighted(batch.column(1), idf), strict=True):
-                if len(h):
-                    keys.append(key)
-                    bands.append(sampler.bands(h, w))
-            if keys:
-                flat = pa.array(np.concatenate(bands))
-                yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "bands": pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, flat)})
 
-        return each
+def added(blocks: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each block's hashes; all different ones of a range, sorted, and in how many documents each is."""
+    each = [np.cumsum(from_planes(b, "<u8"), dtype=np.uint64) for b in blocks.column("hashes").to_pylist()]
+    n = np.concatenate([from_planes(b, "<u4") for b in blocks.column("n").to_pylist()]).astype(np.int64)
+    all_ = np.concatenate(each)
+    order = np.argsort(all_, kind="stable")
+    all_, n = all_[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], all_[1:] != all_[:-1]])) if len(all_) else np.zeros(0, np.int64)
+    return each, all_[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def ranges_of(docs: DataFrame) -> tuple[int, int]:
+    """The number of docs, and of ranges of hashes: one for each CHUNK characters of text."""
+    rows, size = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
+    return rows, 1 + (size or 0) // CHUNK
+
+
+def by_range(blocks: DataFrame) -> DataFrame:
+    """The blocks, those of a range together; ranges are dealt evenly."""
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(n, "range").sortWithinPartitions("range")
+
+
+def shingle_weights(docs: DataFrame, tables: Workspace) -> Idf:
+    """Weights by shingle over all rows of docs (text), to look into a collection that fits the driver; links() doesn't gather them."""
+    rows, ranges = ranges_of(docs)
 
-    return over_texts(texts.select("key", "text"), make, "key binary, bands array<long>")
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in by_chunk(batches):
+            _, h, df = added(table)
+            yield pa.RecordBatch.from_pydict({"shingle": h[df > 1].view(np.int64), "df": df[df > 1]})
+
+    found = by_range(blocks_of_chunks(docs.select(F.lit(b"").alias("key"), "text"), ranges, None)).mapInArrow(frequencies, "shingle long, df long").toPandas()
+    hashes = found["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Idf(rows, hashes[order], found["df"].to_numpy(np.int64)[order])
+
+
+def signatures(docs: DataFrame, tables: Workspace) -> tuple[DataFrame, Idf]:
+    """key, bands and df (the packed document frequencies of its sorted different shingles) of docs (key, text) with words; and weights."""
+    rows, ranges = ranges_of(docs)
+    idf, root = Idf(rows), tables.folder("chunks")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, table in by_chunk(batches):
+            each, h, df = added(table)
+            for at in range(0, len(each), 64):
+                some = each[at : at + 64]
+                yield pa.RecordBatch.from_pydict({"chunk": table.column("chunk").slice(at, 64).combine_chunks(), "range": pa.array([r] * len(some), pa.int32()), "df": pa.array([planes(df[np.searchsorted(h, x)].astype("<u4")) for x in some], pa.binary())})
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler()
+        for name, table in by_chunk(batches):
+            chunk = read_arrays(root, name)
+            df = np.concatenate([from_planes(b, "<u4") for b in table.column("df").to_pylist()])
+            ends = np.concatenate([[0], np.cumsum(chunk["sizes"])])
+            texts = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(chunk["text"]))
+            sets = [counted(s) for part in parts_of(texts) for s in shingles(part)]
+            words = counted(np.concatenate([h for h, _ in sets]))[0]
+            if len(words) != len(df):
+                raise ValueError(f"chunk {name} has {len(df)} answers for {len(words)} shingles")
+            keys = chunk["keys"].tobytes()
+            for at in range(0, len(sets), 256):
+                rows = []
+                for k, (h, n) in enumerate(sets[at : at + 256], at):
+                    if len(h):
+                        its = df[np.searchsorted(words, h)]
+                        rows.append((keys[16 * k : 16 * k + 16], sampler.bands(h, n * idf.weights(its)), packed(its)))
+                if rows:
+                    flat = pa.array(np.concatenate([bands for _, bands, _ in rows]))
+                    bands = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * BANDS, flat)
+                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), bands, pa.array([r[2] for r in rows], pa.binary())], names=["key", "bands", "df"])
+
+    answers = by_range(blocks_of_chunks(docs, ranges, root)).mapInArrow(answer, "chunk string, range int, df binary")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = answers.repartition(n, "chunk").sortWithinPartitions("chunk", "range").mapInArrow(sign, "key binary, bands array<long>, df binary")
+    signed = tables.save(signed, "signatures")
+    tables.drop("chunks")
+    return signed, idf
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
-    """a, b, similarity of the pairs (a, b); texts has each key's text once."""
+    """a, b, similarity of the pairs (a, b); texts has each key's text and df once."""
 
     def make():
         def each(batch):
@@ -257,15 +329,19 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
             # equal leaders stand together often: each is worked on once in a batch
             leaders = batch.column("b").to_pylist()
             where = {b: k for k, b in enumerate(leaders)}
-            once = dict(zip(where, weighted(batch.column("text_b").take(pa.array(list(where.values()), pa.int64())), idf), strict=True))
-            found = [similarity(a, once[b]) for a, b in zip(weighted(batch.column("text_a"), idf), leaders, strict=True)]
+            at = pa.array(list(where.values()), pa.int64())
+            once = dict(zip(where, weighted(batch.column("text_b").take(at), idf, batch.column("df_b").take(at)), strict=True))
+            found = [similarity(a, once[b]) for a, b in zip(weighted(batch.column("text_a"), idf, batch.column("df_a")), leaders, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
         return each
 
-    first = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    return over_texts(both.select("a", "b", "text_a", "text_b"), make, "a binary, b binary, similarity double")
+    return over_texts(with_texts(pairs, texts), make, "a binary, b binary, similarity double")
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    of = lambda side: texts.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}"), F.col("df").alias(f"df_{side}"))
+    return pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "df_a", "text_b", "df_b")
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -274,11 +350,9 @@ def with_key(docs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, tables: Workspace, least: float = SIMILARITY) -> DataFrame:
     """(key, label): the component of every text that is similar to another one; docs has doc_id, text."""
-    idf = shingle_weights(docs, tables)
     rows = with_key(docs.select("doc_id", "text"))
-    bands = tables.save(signatures(rows, idf), "signatures").dropDuplicates(["key"]).select("key", F.explode("bands").alias("band"))
-    bands = tables.save(bands, "bands")
-    tables.drop("signatures")
+    signed, idf = signatures(rows, tables)
+    bands = tables.save(signed.select("key", "bands").dropDuplicates(["key"]).select("key", F.explode("bands").alias("band")), "bands")
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = tables.save(bands.join(sizes, "band"), "members")
     tables.drop("bands")
@@ -292,8 +366,10 @@ def links(docs: DataFrame, tables: Workspace, least: float = SIMILARITY) -> Data
     one = rows.select("key", "doc_id").join(needed, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     one = small(tables.save(one, "text-keys"))
     found = rows.join(one, (rows["key"] == one["key"]) & rows["doc_id"].eqNullSafe(one["doc_id"]), "left_semi")
-    texts = tables.save(found.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    tables.drop("text-keys")
+    texts = found.groupBy("key").agg(F.first("text").alias("text"))
+    df = signed.join(needed, "key", "left_semi").groupBy("key").agg(F.min("df").alias("df"))  # equal texts have equal ones
+    texts = tables.save(texts.join(df, "key"), "texts")
+    tables.drop("text-keys", "signatures")
 
     seen = None
     rest = members.select("band", "key", "meets", "leader")
@@ -343,9 +419,10 @@ def differences(group: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
                 return
             leaders = batch.column("b").to_pylist()
             where = {b: k for k, b in enumerate(leaders)}
-            once = dict(zip(where, weighted_copies(batch.column("text_b").take(pa.array(list(where.values()), pa.int64())), idf), strict=True))
+            at = pa.array(list(where.values()), pa.int64())
+            once = dict(zip(where, weighted_copies(batch.column("text_b").take(at), idf, batch.column("df_b").take(at)), strict=True))
             rows = []
-            for b, (ha, wa) in zip(leaders, weighted_copies(batch.column("text_a"), idf), strict=True):
+            for b, (ha, wa) in zip(leaders, weighted_copies(batch.column("text_a"), idf, batch.column("df_a")), strict=True):
                 hb, wb = once[b]
                 extra, lacks = ~np.isin(ha, hb, assume_unique=True), ~np.isin(hb, ha, assume_unique=True)
                 rows.append((float(wa[~extra].sum()), ha[extra].view(np.int64), wa[extra], hb[lacks].view(np.int64), wb[lacks]))
@@ -354,9 +431,7 @@ def differences(group: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
 
         return each
 
-    both = group.select("a", "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-    return over_texts(both, make, "a binary, b binary, same double, e array<long>, w array<double>, lack_e array<long>, lack_w array<double>")
+    return over_texts(with_texts(group, texts), make, "a binary, b binary, same double, e array<long>, w array<double>, lack_e array<long>, lack_w array<double>")
 
 
 def from_center(differ: DataFrame) -> DataFrame:

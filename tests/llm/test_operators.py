@@ -152,6 +152,27 @@ def test_minhash_large_group_of_near_copies_equals_brute_force(spark, least_edit
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, true.values()))
 
 
+def test_minhash_weighs_every_shingle_by_its_own_frequency(spark, monkeypatch):
+    """Over 40,000 pairs no frequency is floored (df below pairs / 32768 once counted alike), on many chunks and ranges, copies and nulls."""
+    monkeypatch.setattr(minhash, "CHUNK", 20_000)
+    texts = [prose(400, k) for k in range(100, 200)] + [prose(400, 100), None, "", "two words"]
+    texts += [f"{prose(400, k)} again" for k in range(100, 103)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sets = [set(s.tolist()) for s in minhash.shingles(pa.array(texts, pa.string()))]
+    df = Counter(s for its in sets for s in its)
+    want = {s: 1 + np.log((1 + len(texts)) / (1 + n)) / np.log(1 + len(texts)) for s, n in df.items()}
+    hashes = np.array(sorted(df), dtype=np.uint64)
+    assert sum(df.values()) > 40_000 and len({df[s] for s in df}) >= 3
+    assert np.allclose(minhash.shingle_weights(docs, Workspace(spark, "t")).of(hashes), [want[int(h)] for h in hashes])
+    signed, idf = minhash.signatures(minhash.with_key(docs), Workspace(spark, "t"))
+    rows = {bytes(r.key): bytes(r.df) for r in signed.collect()}
+    assert len(rows) == len({t for t in texts if t})
+    for text, its in zip(texts, sets, strict=True):
+        if its:
+            h = np.array(sorted(its), dtype=np.uint64)
+            assert np.allclose(idf.of(h, rows[hashlib.md5(text.encode()).digest()]), [want[int(x)] for x in h])
+
+
 def test_minhash_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 4, 5, 6)], "doc_id long, text string, key int, __key2 int, class int")
     (kept,) = minhash.one_of_each(docs).collect()
