@@ -150,10 +150,15 @@ def categories(event: Column, of: dict[str, str], filtered: list[str], rest: str
 
 
 def active_days(ranges: DataFrame, keys: list[str], since: str, last_reading: Column) -> DataFrame:
-    """keys, days: different days on which a range (start, end; NULL while it lasts) is open, from `since` to the last reading."""
+    """keys, days: different days on which a range (start, end; NULL while it lasts) is open, from `since` to the last reading.
+
+    Of ranges of one first day the longest counts; each adds the days after all that began before it. No day is a row of its own."""
     start, end = F.greatest("start", F.lit(since).cast("date")), F.least(F.coalesce("end", last_reading), last_reading)
-    open_ = ranges.where(start <= end).select(*keys, F.explode(F.sequence(start, end)).alias("day"))
-    return open_.groupBy(*keys).agg(F.countDistinct("day").alias("days"))
+    open_ = ranges.where(start <= end).select(*keys, start.alias("first"), end.alias("last"))
+    longest = open_.groupBy(*keys, "first").agg(F.max("last").alias("last"))  # a key has a row for each day at most
+    before = F.max("last").over(Window.partitionBy(*keys).orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
+    new = F.datediff("last", F.greatest(F.date_sub("first", 1), "before"))
+    return longest.withColumn("before", before).groupBy(*keys).agg(F.sum(F.greatest(new, F.lit(0)).cast("long")).alias("days"))
 
 
 def sparse_fields(columns: list[str]) -> Column:
