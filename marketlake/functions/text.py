@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,10 @@ def fold(text: Column) -> Column:
 
 def has_word(folded: Column, word: str) -> Column:
     """Whether a folded text holds a folded word (a-z0-9) between other characters."""
-    return folded.rlike(f"(^|[^0-9a-z]){word}([^0-9a-z]|$)")
+    if not re.fullmatch("[a-z0-9 ]+", word):
+        return folded.rlike(f"(^|[^0-9a-z]){word}([^0-9a-z]|$)")
+    # the word itself comes first in the pattern, so that other places are passed over fast
+    return folded.rlike(f"{word}(?![0-9a-z])(?<![0-9a-z]{word})")
 
 
 def slug(text: Column) -> Column:

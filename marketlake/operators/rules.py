@@ -89,14 +89,17 @@ def evaluated(notes: DataFrame, scale: Scale, excluded: list[str], anchors: list
 
 def entities(text: Column, names: dict[str, list[str]]) -> Column:
     """Sorted names whose aliases the text has as words (folded)."""
-    folded = fold(text)
-    found = []
-    for name in sorted(names):
-        hit = F.lit(False)
-        for alias in names[name]:
-            hit = hit | has_word(folded, alias)
-        found.append(F.when(hit, name))
-    return F.array_compact(F.array(*found))
+
+    def of(folded: Column) -> Column:
+        found = []
+        for name in sorted(names):
+            hit = F.lit(False)
+            for alias in names[name]:
+                hit = hit | has_word(folded, alias)
+            found.append(F.when(hit, name))
+        return F.array_compact(F.array(*found))
+
+    return F.get(F.transform(F.array(fold(text)), of), F.lit(0))  # folded once, not for each alias
 
 
 @dataclass(frozen=True)

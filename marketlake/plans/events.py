@@ -79,8 +79,8 @@ TOPICS = [rules.Topic("economy", ("price", "bank"), ("and", "und"), ("mar", "tra
 def scored(spark, sf_dir):
     """Notes with a score in place of a model's, an opinion flag by portal, and their topic."""
     rows = note(spark, sf_dir).withColumns({"model_score": F.col("score10") / 100, "opinion": F.col("portal").isin("src3")})
-    folded = fn.fold(F.concat_ws(" . ", "title", "body"))
-    return rows.withColumn("t", rules.topic_of(folded, TOPICS)).withColumns({"topic": F.col("t.topic"), "topic_hits": F.col("t.hits")}).drop("t")
+    rows = rows.withColumn("folded", fn.fold(F.concat_ws(" . ", "title", "body")))  # once a note, not for each word
+    return rows.withColumn("t", rules.topic_of(F.col("folded"), TOPICS)).withColumns({"topic": F.col("t.topic"), "topic_hits": F.col("t.hits")}).drop("t")
 
 
 def has(column: str, pattern: str) -> str:
@@ -159,7 +159,7 @@ SLUGS = [("cash", ["bank", "price"]), ("water", ["river", "water"]), ("home", ["
 def m09(spark, sf_dir):
     rows = scored(spark, sf_dir)
     by_topic = F.when(F.col("topic") == "economy", "eco").when(F.col("topic") == "politics", "pol")
-    slug = rules.first_slug(F.when(F.col("lang") == "fr", "lane"), rules.keyword_slug(fn.fold(F.concat_ws(" . ", "title", "body")), SLUGS), by_topic)
+    slug = rules.first_slug(F.when(F.col("lang") == "fr", "lane"), rules.keyword_slug(F.col("folded"), SLUGS), by_topic)
     return rows.select("id", slug.alias("slug"))
 
 
