@@ -16,7 +16,9 @@ from pyspark.sql.types import DoubleType
 from ..sources.folders import Scratch
 
 #: Notes of one token that a block of a join takes.
-HEAVY = 1000
+HEAVY = 5000
+#: Longs of a note's bitmap of tokens.
+MAP = 8
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -43,7 +45,13 @@ def ranked_tokens(notes: DataFrame, key: list[str]) -> DataFrame:
     each = notes.select(*key, F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count("*").alias("n_notes"))
     ranked = each.join(counts, "token").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("n_notes", "token"))).alias("ranked"))  # one title's tokens
-    return notes.join(ranked, key)
+    return notes.join(ranked, key).withColumn("bits", bitmap("tokens"))
+
+
+def bitmap(tokens: str) -> Column:
+    """A struct of MAP longs in which each token turns one bit round: two sets differ in as many tokens at least as these have bits that differ."""
+    turn = f"aggregate({tokens}, 0L, (x, t) -> IF(pmod(xxhash64(t), {MAP}) = {{k}}, x ^ shiftleft(1L, CAST(pmod(xxhash64(t) DIV {MAP}, 64) AS INT)), x)) AS m{{k}}"
+    return F.expr("struct(" + ", ".join(turn.format(k=k) for k in range(MAP)) + ")")
 
 
 def _keys(notes: DataFrame, least: float, shared: str | None, keep: list[str]) -> DataFrame:
@@ -51,6 +59,7 @@ def _keys(notes: DataFrame, least: float, shared: str | None, keep: list[str]) -
     token, item, and in how many blocks the token's notes are dealt."""
     size = F.size("ranked")
     first = F.greatest(size - F.ceil(size * F.lit(least) - 1e-9).cast("int") + 1, F.lit(1))
+    keep = [*keep, "bits"]
     rows = notes.select("n", *keep, size.alias("size"), *([F.explode(shared).alias("item")] if shared else []), F.slice("ranked", F.lit(1), first).alias("ranked"))
     rows = rows.select("n", *keep, "size", *(["item"] if shared else []), F.posexplode("ranked").alias("place", "r"))
     blocks = F.ceil(F.col("r.n_notes") / HEAVY).cast("int").alias("blocks")
@@ -62,13 +71,15 @@ def candidates(left: DataFrame, right: DataFrame, least: float, shared: str | No
 
     They have one of the rarest tokens of both in common, and with it an item, so a token that is in every title brings nothing together
     by itself. A pair counts at a common token only if as many tokens can follow in both as the similarity still needs. Notes of a
-    frequent token are dealt into blocks on one side and sent to each block on the other. Rows carry numbers and sizes; the pairs
-    are compared afterwards.
+    frequent token are dealt into blocks on one side and sent to each block on the other. Rows carry numbers, sizes and bitmaps, so
+    that most pairs of notes with little else in common go no further than the join; the others are compared afterwards.
     """
     a = _keys(left, least, shared, keep).withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks"))).alias("a")
     b = _keys(right, least, shared, keep).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("block", F.col("block").cast("long")).alias("b")
     most = F.greatest("a.size", "b.size")
     fits = (F.least("a.size", "b.size") >= least * most - 1e-9) & (1 + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1 >= F.ceil(least * most - 1e-9))
+    differ = sum((F.bit_count(F.col(f"a.bits.m{k}").bitwiseXOR(F.col(f"b.bits.m{k}"))) for k in range(MAP)), F.lit(0))
+    fits = fits & (F.col("a.size") + F.col("b.size") - differ >= 2 * F.ceil(least * most - 1e-9))
     same = (F.col("a.token") == F.col("b.token")) & (F.col("a.item") == F.col("b.item")) & (F.col("a.block") == F.col("b.block"))
     return a.join(b, same & fits & where).select(F.col("a.n").alias("a"), F.col("b.n").alias("b"))
 
@@ -95,7 +106,8 @@ def greedy_groups(notes: DataFrame, block: list[str], title: float = 0.70, with_
     scratch = Scratch(notes.sparkSession, "events")
     order = F.struct((-F.col("score")).alias("s"), "id")
     same = [*block, "tokens", "entities", "amounts"]
-    rows = notes.select("id", *block, "score", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in ("tokens", "entities", "amounts")])
+    # made from the texts once: five steps read them
+    rows = scratch.save(notes.select("id", *block, "score", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in ("tokens", "entities", "amounts")]), "rows")
     alike = rows.groupBy(*same).agg(F.min(order).alias("first"))
     firsts = scratch.save(ranked_tokens(alike.select(F.col("first.id").alias("n"), "first", *same).where(F.size("tokens") > 0), ["n"]), "firsts")
     in_block = F.col("a.first") < F.col("b.first")
@@ -127,9 +139,11 @@ def repeated(notes: DataFrame, days: int = 7, title: float = 0.70, with_entity:
     notes has id, fecha, tokens, entities (those that count as evidence) and amounts.
     """
     same = ["fecha", "tokens", "entities", "amounts"]
-    rows = notes.select("id", "fecha", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in same[1:]])
+    scratch = Scratch(notes.sparkSession, "repeated")
+    # made from the texts once: four steps read them
+    rows = scratch.save(notes.select("id", "fecha", *[F.array_sort(F.coalesce(c, F.array().cast("array<string>"))).alias(c) for c in same[1:]]), "rows")
     alike = rows.groupBy(*same).agg(F.min("id").alias("n"))
-    firsts = Scratch(notes.sparkSession, "repeated").save(ranked_tokens(alike.where((F.size("tokens") > 0) & F.col("fecha").isNotNull()), ["n"]), "firsts")
+    firsts = scratch.save(ranked_tokens(alike.where((F.size("tokens") > 0) & F.col("fecha").isNotNull()), ["n"]), "firsts")
     recent = F.datediff("b.fecha", "a.fecha").between(1, days)
     hit = same_event_pairs(firsts, ["fecha"], recent, title, with_entity, with_amount).select(F.col("b").alias("n"), F.lit(True).alias("hit")).distinct()
     numbered = rows.join(alike, [rows[c].eqNullSafe(alike[c]) for c in same]).select(rows["id"], "n")
