@@ -41,7 +41,8 @@ class FeedAlarms(StatefulProcessor):
     """Ticks of a feed: `gap` between two that are more than gap_us apart, and `stale` where stale_us pass without one.
 
     Ticks wait in the state until the watermark says that none can come between any more; a timer asks for the earliest of them. So an
-    alarm is raised by time alone, before the feed's next tick, and the state is what came within the watermark's delay.
+    alarm is raised by time alone, before the feed's next tick, and the state is what came within the watermark's delay. Of a batch's
+    ticks only the first and last of each stretch of time wait that is too short for an alarm within it.
     """
 
     def __init__(self, gap_us: int, stale_us: int):
@@ -56,7 +57,11 @@ class FeedAlarms(StatefulProcessor):
         self.handle.registerTimer((us + self.stale_us) // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = sorted({r.us for r in rows})
+        ends: dict[int, tuple[int, int]] = {}
+        for r in rows:
+            low, high = ends.get(stretch := r.us // min(self.gap_us, self.stale_us), (r.us, r.us))
+            ends[stretch] = min(low, r.us), max(high, r.us)
+        new = sorted({us for pair in ends.values() for us in pair})
         self.waiting.appendList([(us,) for us in new])
         self._ask(new[0])
         return iter(())
