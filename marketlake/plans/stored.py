@@ -58,12 +58,12 @@ ADS = f"SELECT {STEM} AS stem, l_linestatus AS side, l_orderkey AS ad_id, l_line
 @query("s06_file_stream", f"SELECT stem, count(*) AS n, CAST(sum(size) AS BIGINT) AS depth, count(*) AS n_banks FROM (SELECT *, row_number() OVER (PARTITION BY stem, side, ad_id, line ORDER BY price4 DESC, size DESC) AS k FROM ({ADS})) WHERE k = 1 GROUP BY stem")
 def s06(spark, sf_dir):
     """Files from 1997 on, then older ones, which a watermark would pass over; each file is taken once, and a repeated batch changes nothing."""
-    root, checkpoint = shared_folder(spark, "snapshots"), shared_folder(spark, "checkpoint")
+    root, checkpoint, names = (shared_folder(spark, n) for n in ("snapshots", "checkpoint", "snapshot-names"))
     ads = VersionedTable(spark, shared_folder(spark, "ads"), "stem string, side string, ad_id long, line int, price4 long, size long, banks array<string>", ["stem", "side", "ad_id", "line"], ["price4", "size"], file_rows=500_000)
     load = stateful.upsert_intake(ads, "snapshots", flatten)
     for where in ("year(l_shipdate) >= 1997", "year(l_shipdate) < 1997"):
         snapshot_files(spark, sf_dir, root, where=where)
-        stateful.to_table(document_stream(spark, root), load, checkpoint)
+        stateful.to_table(document_stream(spark, root, names), load, checkpoint)
     return by_stem(ads.read())
 
 
